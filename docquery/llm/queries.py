@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from docquery.llm import decontaminate as _decontaminate
+from docquery.llm import langid as _langid
 from docquery.llm import quality_rules as _quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,10 +24,44 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return f
 
 
+def _digest(strings: Column) -> Column:
+    """Lowercase hex SHA-256 of the strings of an array, comma-joined."""
+    return F.sha2(F.array_join(strings, ",").cast("binary"), 256)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = _decontaminate.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"), _digest(F.col("hit_items")).alias("items_sha256"), "contaminated")
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+ORACLE_SQL["op3_benchmark_decontamination"] = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, {_ALNUM}) AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWERED}, {_ALNUM}) AS ws FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, least(13, len(ws)) AS sz, array_to_string(ws[i : i + least(13, len(ws)) - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)),
+dwins AS (
+  SELECT doc_id, sz, i, array_to_string(ws[i : i + sz - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, sz, unnest(range(1, len(ws) - sz + 2)) AS i FROM d, (SELECT DISTINCT sz FROM wins))),
+hits AS (SELECT doc_id, i, sz, item_id FROM dwins JOIN wins USING (sz, g)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + sz)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 @_query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality.quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -57,3 +94,12 @@ FROM b"""
 
 
 ORACLE_SQL["op5_quality_rules"] = _quality_sql()
+
+
+@_query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    samples = _langid.language_samples(docs.where(_langid.remainder("doc_id", 4) != 2))
+    return _langid.identify(docs.select("doc_id", "text"), samples).select(
+        "doc_id", F.coalesce(_langid.remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
