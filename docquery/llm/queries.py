@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from docquery.llm import decontaminate as _decontaminate
 from docquery.llm import langid as _langid
+from docquery.llm import licenses as _licenses
+from docquery.llm import pii as _pii
 from docquery.llm import quality_rules as _quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +105,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _langid.identify(docs.select("doc_id", "text"), samples).select(
         "doc_id", F.coalesce(_langid.remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+@_query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+@_query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
