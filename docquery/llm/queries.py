@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquery.llm import bpe as _bpe
 from docquery.llm import decontaminate as _decontaminate
 from docquery.llm import langid as _langid
 from docquery.llm import licenses as _licenses
@@ -118,3 +120,18 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+
+
+@_query
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = _bpe.read_ranks(spark, public_tokenizers.path(TOKENIZER))
+    encoded = _bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return _bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        _digest(F.col("ids").cast("array<string>")).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
