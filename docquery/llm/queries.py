@@ -17,7 +17,10 @@ from docquery.llm import decontaminate as _decontaminate
 from docquery.llm import langid as _langid
 from docquery.llm import licenses as _licenses
 from docquery.llm import pii as _pii
+from docquery.llm import quality_gbt as _gbt
 from docquery.llm import quality_rules as _quality
+from docquery.llm import warc as _warc
+from docquery.llm.shared import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -135,3 +138,32 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         _digest(F.col("ids").cast("array<string>")).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@_query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    forest = _gbt.fit(docs, labels.where(_langid.remainder("doc_id", 3) != 1))
+    return _gbt.classify(docs, forest).select("doc_id", F.coalesce(_langid.remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@_query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arc, warc = new_path(spark, "arc"), new_path(spark, "warc")
+    _warc.write_arc(_table(spark, sf_dir, "pages"), arc)
+    _warc.convert(spark, arc, warc)
+    read = _warc.read_warc(spark, warc)
+    targets = read.where(F.col("record_type") == "response").select(F.col("record_id").alias("refers_to_id"), F.col("rank").alias("refers_to"))
+    seen = read.where(F.col("refers_to_id").isNotNull()).join(targets, "refers_to_id", "left")
+    columns = [F.col("rank").alias("page_id"), "payload_bytes", "payload_digest", "record_type"]
+    return read.where(F.col("refers_to_id").isNull()).select(*columns, F.lit(None).cast("long").alias("refers_to")).unionByName(seen.select(*columns, "refers_to"))
+
+
+ORACLE_SQL["op8_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY h, n) AS top FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
+FROM w"""
