@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from docquery.llm import bpe as _bpe
 from docquery.llm import decontaminate as _decontaminate
+from docquery.llm import jaccard_join as _jaccard
 from docquery.llm import langid as _langid
 from docquery.llm import licenses as _licenses
 from docquery.llm import pii as _pii
@@ -167,3 +168,21 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
        CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
 FROM w"""
+
+
+@_query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op6_jaccard_join"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + least(5, len(ws)) - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS to_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.to_id = e.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(to_id) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)"""
