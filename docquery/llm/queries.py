@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from docquery.llm import bpe as _bpe
 from docquery.llm import decontaminate as _decontaminate
 from docquery.llm import jaccard_join as _jaccard
+from docquery.llm import katz as _katz
 from docquery.llm import langid as _langid
 from docquery.llm import licenses as _licenses
 from docquery.llm import pii as _pii
@@ -186,3 +187,11 @@ e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE
 r AS (SELECT doc_id, doc_id AS to_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.to_id = e.a)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(to_id) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)"""
+
+
+@_query
+def op4_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = _katz.score(docs, _langid.remainder("doc_id", 7) != 2)
+    held_out = F.coalesce(_langid.remainder("doc_id", 7) == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
