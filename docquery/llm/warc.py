@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LEVEL = 3
+LEVEL = 5
 RANK_HEADER = "X-Archive-Rank"
 LEAST = 1000
 # Field lines of the two ARC versions.
