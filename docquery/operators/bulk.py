@@ -17,6 +17,7 @@ SOURCES = {"where", "order", "skip", "take", "distinct"}
 
 
 def _check(query: Query) -> None:
+    """Only filters, order, paging and distinct may stand below."""
     bad = set(query._ops) - SOURCES
     if bad:
         raise QueryError(f"a bulk operation cannot go over {', '.join(sorted(bad))}")
@@ -88,8 +89,8 @@ def _bound(query: Query) -> Query:
 
 def execute_delete(query: Query) -> int:
     """Deletes what the query selects; the number of rows."""
-    query, keys = _bound(query), list(query.entity.key)
     _check(query)
+    query, keys = _bound(query), list(query.entity.key)
     count = query.count()
     if count:
         _write(query, delete_df(query, _everything(query), keys))
@@ -98,6 +99,7 @@ def execute_delete(query: Query) -> int:
 
 def execute_update(query: Query, **setters) -> int:
     """Updates what the query selects; the number of rows matched, changed or not."""
+    _check(query)
     query, keys = _bound(query), list(query.entity.key)
     base = _everything(query)
     rows, count = update_df(query, base, keys, setters), query.count()
