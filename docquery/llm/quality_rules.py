@@ -74,7 +74,8 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
           transform(array(filter(_near, {same})), f -> sort_array(array_distinct(concat(f.i, f.j))))[0],
           struct(-3 AS last, 0 AS n), (a, p) -> struct(p AS last, a.n + least(3, p - a.last) AS n), a -> a.n)"""
     out = docs.withColumns({
-        "_words": F.expr(f"transform(array(split({t}, '{_WS}+')), s -> slice(s, 1 + {first}, size(s) - {first} - {last}))[0]"),
+        # Not deterministic for the optimizer, so that no filter above is pushed below and has the words split in a lambda.
+        "_words": F.expr(f"IF(monotonically_increasing_id() >= 0, transform(array(split({t}, '{_WS}+')), s -> slice(s, 1 + {first}, size(s) - {first} - {last}))[0], NULL)"),
         "_lines": F.expr(f"transform(array({lines}), l -> struct(size(l) AS n, size(array_distinct(l)) AS different))[0]"),
         "n_symbols": F.expr(f"cast(size(split({t}, '{_SYMBOLS}')) - 1 AS bigint)"),
     })
