@@ -122,7 +122,7 @@ def train(rows: np.ndarray, labels: np.ndarray, trees: int = TREES, depth: int =
     inner = (1 << depth) - 1
     share = labels.mean() if len(labels) else 0.5
     empty = Forest(float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))), np.zeros((0, inner), int), np.zeros((0, inner)), np.zeros((0, inner + 1)))
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         return empty
     m, width = rows.shape
     edges = [np.unique(np.quantile(rows[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(width)]

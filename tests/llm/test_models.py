@@ -39,7 +39,7 @@ class TestWords:
 
 class TestLanguage:
     @settings(max_examples=60, deadline=None)
-    @given(some.text("abc ", min_size=1, max_size=60), some.lists(some.text("abcd ", max_size=300), min_size=1, max_size=4))
+    @given(some.text("abc ", max_size=60).map(lambda t: t + "cab "), some.lists(some.text("abc ", max_size=600), min_size=1, max_size=4))
     def test_phrases(self, sample, texts):
         parser = langid.Parser({"x": sample.encode()})
         data, offsets = bytewords.buffers(pa.array(texts))
@@ -53,8 +53,7 @@ class TestLanguage:
                         size += 1
                     at += size
                     want += 1
-            extra = sum(block and block[-1] not in sample for block in (text[k : k + langid.BLOCK] for k in range(0, len(text), langid.BLOCK)))
-            assert want <= got <= want + extra + text.count("d")
+            assert got == want
 
     def test_held_out_accuracy(self, spark):
         docs = spark.read.parquet(f"{SMALL}/documents.parquet")
