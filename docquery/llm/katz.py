@@ -27,7 +27,6 @@ they stand; an empty table gives an empty result; other columns are not kept.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,11 +38,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquery.llm import bytewords as bw
-from docquery.llm.shared import parts, stored
+from docquery.llm.shared import parts, release, stored
 
 K, DELTA, HOT = 5, 0.1, 4096
 #: Tokens and documents packed at once by a task.
-CHUNK_TOKENS, CHUNK_DOCS = 2_500_000, 60_000
+CHUNK_TOKENS, CHUNK_DOCS = 1_200_000, 60_000
 _U = np.uint64
 _END, _START = _U(0x7C15A0E5D1B54A33), _U(0x1B873593CC9E2D51)
 _LOW = 16
@@ -162,7 +161,9 @@ def _bigram_scan(known, key: str, text: str, count: int):
 
         def out():
             w, v, d = (np.concatenate(x) for x in zip(*held))
+            held.clear()
             learn = np.concatenate(train)
+            head = np.bincount(d, minlength=len(learn))
             v = v >> _U(_LOW)
             spread = np.isin(w, hot)
             part = (bw.mix(w ^ np.where(spread, v, _U(0))) % _U(count)).astype(np.int32)
@@ -182,7 +183,6 @@ def _bigram_scan(known, key: str, text: str, count: int):
                 rows.append((int(p), None, [
                     tw[a:b][at].tobytes(), np.diff(np.append(at, b - a)).astype(np.uint32).tobytes(), (tv[a:b] >> _U(16)).astype(np.uint32).tobytes(), (tv[a:b] & _U(0xFFFF)).astype(np.uint16).tobytes(),
                     counts[a:b].astype(np.uint32).tobytes(), places[a:b].astype(np.uint32).tobytes(), d[place_cuts[p] : place_cuts[p + 1]].astype(np.uint16).tobytes()]))
-            head = np.bincount(np.concatenate([x[2] for x in held]), minlength=len(learn))
             rows[0][2][:2] = [head.astype(np.int64).tobytes(), learn.astype(np.uint8).tobytes()]
             columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([name] * len(rows), pa.int64()), pa.array([None if r[1] is None else r[1].to_pylist() for r in rows], pa.list_(kind))]
             return pa.RecordBatch.from_arrays([*columns, *[pa.array([r[2][k] for r in rows], pa.binary()) for k in range(7)]], ["part", "chunk", "keys", *_COLUMNS])
@@ -236,16 +236,18 @@ def _weigh(known, count: int):
             return _found(out, kind)
         chunks = table.column("chunk").to_pylist()
         high, low = _read(table, "v_high", np.uint32), _read(table, "v_low", np.uint16)
+        cuts = np.cumsum([0, *[len(x) for x in high]])
         w = np.concatenate([np.repeat(a, b) for a, b in zip(_read(table, "w", np.uint64), _read(table, "per_w", np.uint32))])
         v = (np.concatenate(high).astype(np.uint64) << _U(16)) | np.concatenate(low)
-        in_chunk = np.repeat(np.arange(len(chunks)), [len(x) for x in high])
-        counts, places, docs = (np.concatenate(_read(table, c, k)) for c, k in (("counts", np.uint32), ("places", np.uint32), ("docs", np.uint16)))
+        del high, low
         order = np.lexsort((v, w))
-        new = np.concatenate([[True], (w[order][1:] != w[order][:-1]) | (v[order][1:] != v[order][:-1])])
-        bigram = np.empty(len(w), np.int64)
+        w, v = w[order], v[order]
+        new = np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])])
+        bigram = np.empty(len(w), np.int32)
         bigram[order] = np.cumsum(new) - 1
-        gw, gv = w[order][new], v[order][new]
-        r = np.bincount(bigram, counts).astype(np.int64)
+        gw, gv = w[new], v[new]
+        del w, v, order, new
+        r = np.bincount(bigram, np.concatenate(_read(table, "counts", np.uint32))).astype(np.int64)
         first = np.concatenate([[True], gw[1:] != gw[:-1]])
         word, words = np.cumsum(first) - 1, gw[first]
         n = np.bincount(word, r).astype(np.int64)
@@ -267,28 +269,28 @@ def _weigh(known, count: int):
         per_w = np.bincount(word[seen], minlength=len(words))
         out.append(("bigrams", key[0].as_py(), 0, None, [words[per_w > 0].tobytes(), per_w[per_w > 0].astype(np.uint32).tobytes(), (gv[seen] >> _U(16)).astype(np.uint32).tobytes(), (gv[seen] & _U(0xFFFF)).astype(np.uint16).tobytes(), rs.astype(np.uint32).tobytes()]))
 
-        t = np.repeat(bigram, places)
-        doc = np.repeat(in_chunk, places) * 65536 + docs
-        ids, at = np.unique(doc, return_inverse=True)
-        rt, nt = r[t], n[t]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            value = np.where(rt > K, np.log10(np.maximum(rt - DELTA, DELTA)), np.where(rt > 0, np.log10(np.maximum(rt, 1)), np.log10(p)[t]))
-            value -= np.where((nt > 0) & (gw[t] != _END), np.log10(np.maximum(nt, 1)), 0.0)
-            base = np.log10((nt + 1) / (model.tokens + model.vocabulary + 1))
-        sums = [np.bincount(at, x, len(ids)) for x in (base, value)] + [np.bincount(at, nt > 0, len(ids)).astype(np.uint32)]
-        low_counts = np.stack([np.bincount(at, rt == k, len(ids)).astype(np.uint32) for k in range(1, K + 1)], axis=1)
-        for c, chunk in enumerate(chunks):
-            a, b = np.searchsorted(ids, [c * 65536, (c + 1) * 65536])
-            if a < b:
-                out.append(("docs", 0, chunk, None, [(ids[a:b] & 0xFFFF).astype(np.uint16).tobytes(), *[x[a:b].tobytes() for x in sums], low_counts[a:b].tobytes()]))
-        ask = np.flatnonzero(rt == 0)
-        asked, doc = gv[t[ask]], doc[ask]
-        own = (bw.mix(asked) % _U(count)).astype(np.int64)
-        order = np.lexsort((doc, own))
-        asked, doc, own = asked[order], doc[order], own[order]
-        cut = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (doc[1:] >> 16 != doc[:-1] >> 16)])) if len(doc) else np.zeros(0, np.int64)
-        for a, b in zip(cut, np.append(cut[1:], len(doc))):
-            out.append(("requests", int(own[a]), chunks[doc[a] >> 16], None, [(asked[a:b] >> _U(16)).astype(np.uint32).tobytes(), (asked[a:b] & _U(0xFFFF)).astype(np.uint16).tobytes(), (doc[a:b] & 0xFFFF).astype(np.uint16).tobytes()]))
+        with np.errstate(divide="ignore"):
+            value = np.where(r > K, np.log10(np.maximum(r - DELTA, DELTA)), np.where(r > 0, np.log10(np.maximum(r, 1)), np.log10(p)))
+        value -= np.where((n > 0) & (gw != _END), np.log10(np.maximum(n, 1)), 0.0)
+        base = np.log10((n + 1) / (model.tokens + model.vocabulary + 1))
+        del p, word, words, first
+        places, docs = table.column("places"), table.column("docs")
+        for c, chunk in enumerate(chunks):  # the places of one chunk at a time
+            t = np.repeat(bigram[cuts[c] : cuts[c + 1]], np.frombuffer(places[c].as_py(), np.uint32))
+            doc = np.frombuffer(docs[c].as_py(), np.uint16)
+            ids, at = np.unique(doc, return_inverse=True)
+            rt = r[t]
+            sums = [np.bincount(at, x[t], len(ids)) for x in (base, value)] + [np.bincount(at, n[t] > 0, len(ids)).astype(np.uint32)]
+            low_counts = np.stack([np.bincount(at, rt == k, len(ids)).astype(np.uint32) for k in range(1, K + 1)])
+            out.append(("docs", 0, chunk, None, [ids.tobytes(), *[x.tobytes() for x in sums], low_counts.tobytes()]))
+            ask = np.flatnonzero(rt == 0)
+            asked, doc = gv[t[ask]], doc[ask]
+            own = (bw.mix(asked) % _U(count)).astype(np.int64)
+            order = np.argsort(own, kind="stable")
+            asked, doc, own = asked[order], doc[order], own[order]
+            for q in np.unique(own):
+                a, b = np.searchsorted(own, [q, q + 1])
+                out.append(("requests", int(q), chunk, None, [(asked[a:b] >> _U(16)).astype(np.uint32).tobytes(), (asked[a:b] & _U(0xFFFF)).astype(np.uint16).tobytes(), doc[a:b].tobytes()]))
         return _found(out, kind)
 
     return run
@@ -340,7 +342,7 @@ def _finish(model: Unigrams, discounts: Discounts, schema: list[str]):
                 score[at] += np.frombuffer(b, np.float64)
                 continue
             base[at] += np.frombuffer(b, np.float64)
-            score[at] += np.frombuffer(c, np.float64) + np.frombuffer(e, np.uint32).reshape(-1, K) @ ratios
+            score[at] += np.frombuffer(c, np.float64) + ratios @ np.frombuffer(e, np.uint32).reshape(K, -1)
             known[at] += np.frombuffer(d, np.uint32)
         return pa.Table.from_arrays([keys, pa.array(learn.astype(bool)), pa.array(tokens), pa.array(known), pa.array(np.full(n, model.tokens, np.int64)), pa.array(base), pa.array(score)], schema)
 
@@ -356,17 +358,16 @@ def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text
     keys = T.StructField("keys", T.ArrayType(docs.schema[key].dataType))
     packed = docs.mapInArrow(_bigram_scan(known, key, text, count), T.StructType([T.StructField("part", T.IntegerType()), T.StructField("chunk", T.LongType()), keys, *[T.StructField(c, T.BinaryType()) for c in _COLUMNS]]))
     found_schema = T.StructType([keys, *_FOUND.fields])
-    found = stored(packed.groupBy("part").applyInArrow(_weigh(known, count), found_schema), "katz-counts", ["kind"])
+    found = stored(packed.groupBy("part").applyInArrow(_weigh(known, count), found_schema), "katz-counts")
     del packed
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # the shuffle files of the counts go
+    release(spark)
     types = np.zeros(K + 2, np.int64)
     for r in found.where("kind = 'types'").select("a").toLocalIterator():
         types += np.frombuffer(r["a"], np.int64)
     discounts = Discounts.of(types.tolist())
     sides = found.where("kind IN ('history', 'requests')")
     kind = _arrow_type(found)
-    weights = stored(sides.groupBy("part").applyInArrow(_answer(discounts, kind), found_schema), "katz-weights", ["kind"])
+    weights = stored(sides.groupBy("part").applyInArrow(_answer(discounts, kind), found_schema), "katz-weights")
     rows = found.where("kind IN ('head', 'docs')").unionByName(weights.where("kind = 'answers'"))
     names = [key, "learned", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     types_ = [T.BooleanType(), T.LongType(), T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()]

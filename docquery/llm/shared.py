@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -40,3 +41,9 @@ def remove(spark: SparkSession, path: str) -> None:
 def parts(spark: SparkSession) -> int:
     """Partitions for a shuffle of packed blocks."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def release(spark: SparkSession) -> None:
+    """Shuffle files of finished steps go when the driver finds that nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
