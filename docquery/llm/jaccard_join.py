@@ -12,7 +12,7 @@ with nothing.  Two documents link when ``100 * intersection >= threshold * union
 3. In a group, an inverted index answers T-occurrence searches: the short lists of a set's shingles are merged by a
    heap that skips, the long ones probed by binary search.  Sets that a search has linked to are not searched
    themselves while one component is left; then all sets outside the largest component are, so no link between
-   different components is missed.  A group over ``BLOCK_SETS`` is searched in all pairs of its blocks.
+   different components is missed.  A group over ``BLOCK_SETS`` or ``BLOCK_SHINGLES`` is searched in all pairs of its blocks.
 4. Components of the verified links give each document the least id it reaches.
 
 Null and empty texts, and texts of white space, link with nothing.  Repeated rows are equal documents.  A null id is
@@ -33,11 +33,13 @@ from pyspark.sql import types as T
 
 from docquery.llm import bytewords as bw
 from docquery.llm.components import components
-from docquery.llm.shared import parts, stored
+from docquery.llm.shared import parts, release, stored
 
 SHINGLE, THRESHOLD = 5, 75
-#: Sets searched in one block.
-BLOCK_SETS = 20_000
+#: Sets and shingles searched in one block.
+BLOCK_SETS, BLOCK_SHINGLES = 20_000, 8_000_000
+#: Shingles packed at once by a task.
+PACKED = 1_500_000
 #: log2 of the counters for shingles, and their rows.
 _COUNTERS, _ROWS = 20, 16
 _U = np.uint64
@@ -146,7 +148,7 @@ def _prefixes(table, text: str, n: int, threshold: int, bins: int):
                 keep = np.arange(len(h)) - first < (sizes - -(-threshold * sizes // 100) + 1)[docs]
                 held.append((h[keep], ids[docs[keep]], sizes[docs[keep]]))
                 size += int(keep.sum())
-                if size > 4_000_000:
+                if size > PACKED:
                     yield out()
                     held, size = [], 0
         if held:
@@ -222,7 +224,7 @@ def _whole_sets(bits, text: str, n: int):
     return run
 
 
-def divide_skip(lists: list[list[int]], least: int) -> list[tuple[int, int]]:
+def divide_skip(lists: list, least: int) -> list[tuple[int, int]]:
     """(document, number of lists that hold it) of the documents in ``least`` of the sorted lists or more.
 
     ``least - 1`` of the longest lists at most are set aside: a document in ``least`` lists is in
@@ -268,13 +270,32 @@ def divide_skip(lists: list[list[int]], least: int) -> list[tuple[int, int]]:
     return out
 
 
+def _shared_keys(sets: list[np.ndarray], slices: int = 16) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that two sets of a block or more have, sorted, with the sets that have them; a slice of hashes at a time."""
+    edges = [_U(k) << _U(60) for k in range(1, slices)]
+    cuts = np.array([[0, *np.searchsorted(s, edges), len(s)] for s in sets])
+    keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+    for k in range(slices):
+        own = np.concatenate([s[a:b] for s, a, b in zip(sets, cuts[:, k], cuts[:, k + 1])])
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), cuts[:, k + 1] - cuts[:, k])
+        order = np.argsort(own, kind="stable")
+        own, owner = own[order], owner[order]
+        same = own[1:] == own[:-1]
+        keep = np.zeros(len(own), bool)
+        keep[1:] |= same
+        keep[:-1] |= same
+        keys.append(own[keep])
+        owners.append(owner[keep])
+    return np.concatenate(keys), np.concatenate(owners)
+
+
 def search_block(ids: list[int], sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
     """(identity, root) of all sets of one block, linked as far as their component in the block goes."""
     n = len(ids)
-    keys = np.concatenate(sets)
-    owner = np.repeat(np.arange(n), [len(s) for s in sets])
-    order = np.argsort(keys, kind="stable")
-    keys, owner = keys[order], owner[order]
+    keys, owner = _shared_keys(sets)
+    if not len(keys):
+        return [(x, x) for x in ids]
+    lists = memoryview(owner)  # slices of it are no copies
     firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     names, lasts = keys[firsts], np.append(firsts[1:], len(keys))
     parent = list(range(n))
@@ -290,13 +311,12 @@ def search_block(ids: list[int], sets: list[np.ndarray], threshold: int) -> list
     def search(q: int) -> list[int]:
         nonlocal left
         size, found = len(sets[q]), []
-        at = np.searchsorted(names, sets[q])
-        a, b = firsts[at], lasts[at]
-        many = np.flatnonzero(b - a > 1)
+        at = np.minimum(np.searchsorted(names, sets[q]), len(names) - 1)
+        at = at[names[at] == sets[q]]
         least = required(size, threshold)
-        if len(many) < least:
+        if len(at) < least:
             return found
-        for other, count in divide_skip([owner[a[k] : b[k]].tolist() for k in many], least):
+        for other, count in divide_skip([lists[a:b] for a, b in zip(firsts[at].tolist(), lasts[at].tolist())], least):
             if other != q and 100 * count >= threshold * (size + len(sets[other]) - count):
                 found.append(other)
                 x, y = find(q), find(other)
@@ -331,6 +351,7 @@ def _search(threshold: int):
                 ids, sets = blocks.setdefault((group, i, j), ([], []))
                 ids.append(one)
                 sets.append(np.frombuffer(shingles, np.uint64))
+        del table
         edges = [e for ids, sets in blocks.values() if len(ids) > 1 for e in search_block(ids, sets, threshold) if e[0] != e[1]]
         return pa.Table.from_arrays([pa.array([u for u, _ in edges], pa.int64()), pa.array([v for _, v in edges], pa.int64())], ["u", "v"])
 
@@ -378,12 +399,14 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     edges = packed.groupBy("bin").applyInArrow(_shared(threshold), "u long, v long")
     groups = stored(components(edges, "jaccard-groups"), "jaccard-groups").withColumnsRenamed({"node": "set", "root": "group"})
 
+    del packed, edges
+    release(spark)
     count = groups.count()
     if count:
         bits = context.broadcast(_marked(groups, "set", count))
         whole = docs.mapInArrow(_whole_sets(bits, text, n), "set long, shingles binary").groupBy("set").agg(F.first("shingles").alias("shingles"))
-        sizes = groups.groupBy("group").agg(F.count("*").alias("_n"))
-        blocks = F.ceil(F.col("_n") / block_sets).cast("int")
+        sizes = groups.join(slim.select("set", "n_shingles").distinct(), "set").groupBy("group").agg(F.count("*").alias("_n"), F.sum("n_shingles").alias("_size"))
+        blocks = F.ceil(F.greatest(F.col("_n") / block_sets, F.col("_size") / BLOCK_SHINGLES)).cast("int")
         members = groups.join(sizes, "group").withColumns({"_blocks": blocks, "_own": F.pmod(F.xxhash64("set"), blocks).cast("int")})
         members = members.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         members = members.select("set", "group", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"))
