@@ -144,6 +144,33 @@ class TestPii:
         got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
         assert got[9] == "context:17:33" and got[10] == "" and got[0] == "card:17:33"
 
+    def test_shapes_that_no_base_kind_has(self, spark):
+        """The first round reaches new shapes by words alone; what it finds makes a pattern of the second."""
+        good = [f"user{k}@mail{k}.example" for k in range(15)]
+        phones = [f"+49 30 12345{k:02}" for k in range(4)]
+        found, unseen = ["AB-12345", "CD-67890", "EF-24680", "GH-11223", "IJ-44556"], "XY/13579/Q"
+        texts = [f"the customer id {c} was seen" for c in good + found] + [f"please call {p} today" for p in phones]
+        texts += [f"under ledger key {x} it says" for x in [*found, unseen]] + ["please call 0301234567 today", "please call (030) 123 4567 today", "nothing like part 99-12345 here"]
+        got = {t: s for t, s in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), with_text=True).select("text", "spans").collect()}
+        for text, token in [(f"the customer id {x} was seen", x) for x in found] + [(f"under ledger key {unseen} it says", unseen), (texts[-3], "0301234567"), (texts[-2], "(030) 123 4567")]:
+            assert got[text] == f"context:{text.index(token)}:{text.index(token) + len(token)}", text
+        assert got[texts[-1]] == ""
+        one = {t: s for t, s in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), rounds=1, with_text=True).select("text", "spans").collect()}
+        assert one[f"under ledger key {unseen} it says"] == "" and one["the customer id AB-12345 was seen"] != ""
+
+    def test_runs_of_tokens(self):
+        def runs(text):
+            return [text[a:b] for a, b, seed, *_ in pii.candidates(text, pii.base_spans(text)) if seed is False and " " in text[a:b]]
+
+        assert runs("iban GB82 WEST 1234 5698 7654 32, then") == ["GB82 WEST 1234 5698 7654 32"] and runs("in 2019, 1234567 or (030) 77 8899.") == ["(030) 77 8899"]
+        assert runs("a@b.c1 1234567 x1 and 1234567\n7654321") == ["1234567 x1"] and "".join(runs(" ".join(f"{k:06}" for k in range(20)))).count("0000") == 20
+
+    def test_words_before_anything_are_no_pattern(self, spark):
+        good = ["4111111111111111", "5500005555555559", "4012888888881881", "378282246310005", "6011111111111117"]
+        rows = [(i, f"w{i} of {c} x{i}") for i, c in enumerate(good)] + [(9, "made of AB-123456 then"), (10, " ".join(f"{a}{b}ing of" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz" * 20))]
+        got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+        assert got[9] == ""
+
     def test_redaction(self, spark):
         docs = spark.createDataFrame([(1, "é mail a.b@c.de, ip 1.2.3.4."), (2, None), (3, "clean")], "doc_id int, text string")
         assert {r.doc_id: r.text for r in pii.redact(docs).collect()} == {1: "é mail [EMAIL], ip [IP].", 2: None, 3: "clean"}
