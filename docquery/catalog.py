@@ -167,6 +167,12 @@ def entity_not_equal(s):
     return q.where(~q.is_entity(5)).where(lambda c: c.key < 10).select("key")
 
 
+@query("SELECT c_custkey AS key FROM customer WHERE c_custkey <> 5")
+def entity_not_equal_all(s):
+    q = s.set("Customer")
+    return q.where(~q.is_entity(5)).select("key")
+
+
 # -- projection
 
 
@@ -374,6 +380,11 @@ def ext_cross_join(s):
     return s.set("Region").cross_join(s.set("Nation").where(lambda n: n.key < 3), region=lambda r, n: r.name, nation=lambda r, n: n.name)
 
 
+@query("SELECT r_name AS region, n_name AS nation FROM region CROSS JOIN nation")
+def ext_cross_join_all(s):
+    return s.set("Region").cross_join(s.set("Nation"), region=lambda r, n: r.name, nation=lambda r, n: n.name)
+
+
 @query("SELECT c_custkey AS key FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 150000)")
 def ext_semi_join(s):
     return s.set("Customer").semi_join(s.set("Order").where(lambda o: o.total > 150000), "key", "customer_key").select("key")
@@ -462,6 +473,11 @@ def ext_explode(s):
     return s.set("Vector").where(lambda v: v.key < 5).select_many("embedding", "x", position="at").select("key", "x", at=F.col("at").cast("long"))
 
 
+@query("SELECT vec_id AS key, i - 1 AS at, embedding[i] AS x FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)")
+def ext_explode_all(s):
+    return s.set("Vector").select_many("embedding", "x", position="at").select("key", "x", at=F.col("at").cast("long"))
+
+
 # -- embedded documents, arrays and maps
 
 
@@ -483,6 +499,12 @@ def embedded_projection(s):
     return q.select("key", parts=lambda o: F.array_join(F.array_sort(arr.select(o.lines, lambda x: x["part_key"])).cast("array<string>"), ","))
 
 
+@query("SELECT o_orderkey AS key, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey) AS parts FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey")
+def embedded_projection_all(s):
+    q = s.set("Order").include("lines").where(lambda o: arr.any_(o.lines))
+    return q.select("key", parts=lambda o: F.array_join(F.array_sort(arr.select(o.lines, lambda x: x["part_key"])).cast("array<string>"), ","))
+
+
 @query("SELECT event_id AS key, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events WHERE CAST(json_extract(props, '$.k') AS INTEGER) >= 50")
 def json_document_filter(s):
     q = s.set("Event")
@@ -565,7 +587,12 @@ def date_arithmetic(s):
 
 @query("SELECT o_orderkey AS key, CAST(o_totalprice AS BIGINT) AS n, CAST(o_orderkey AS VARCHAR) AS s, CAST(o_orderkey AS DOUBLE) AS d FROM orders WHERE o_totalprice = floor(o_totalprice) OR o_orderkey < 50")
 def casts(s):
-    return s.set("Order").where(lambda o: (o.total == F.floor(o.total)) | (o.key < 50)).select("key", n=lambda o: ma.convert(F.round(o.total), "long"), s=lambda o: st.to_string(o.key), d=lambda o: ma.convert(o.key, "double"))
+    return s.set("Order").where(lambda o: (o.total == F.floor(o.total)) | (o.key < 50)).select("key", n=lambda o: ma.convert(F.rint(o.total), "long"), s=lambda o: st.to_string(o.key), d=lambda o: ma.convert(o.key, "double"))
+
+
+@query("SELECT o_orderkey AS key, CAST(o_totalprice AS BIGINT) AS n, CAST(o_orderkey AS VARCHAR) AS s, CAST(o_orderkey AS DOUBLE) AS d FROM orders")
+def casts_all(s):
+    return s.set("Order").select("key", n=lambda o: ma.convert(F.rint(o.total), "long"), s=lambda o: st.to_string(o.key), d=lambda o: ma.convert(o.key, "double"))
 
 
 # -- vector search
@@ -636,6 +663,13 @@ def text_analyzer(s):
     return s.set("Part").select("key", ok=F.lit(True), words=lambda p: F.size(a.tokens(p.name)).cast("long"))
 
 
+@query("SELECT p_partkey AS key, array_to_string(list_transform(list_filter(list_transform(list_filter(string_split_regex(p_type || ' ' || p_brand || ' ' || p_name, '\\s+'), lambda x: x <> ''), lambda x: lower(x)), lambda x: length(x) >= 4 AND x NOT IN ('widget', 'promo')), lambda x: reverse(replace(x, 'brand#', 'b'))), ' ') AS tokens FROM part")
+def text_analyzer_tokens(s):
+    filters = (textindex.lowercase(), textindex.length_filter(4), textindex.stop_words(["Widget", "Promo"]), textindex.regex_filter("brand#", "b"), textindex.reverse())
+    a = textindex.Analyzer("words", textindex.whitespace(), token_filters=filters)
+    return s.set("Part").select("key", tokens=lambda p: F.array_join(a.tokens(st.concat(p.type, " ", p.brand, " ", p.name)), " "))
+
+
 # -- headline shapes of the benchmark: scan, filter, top-k, reference include, paged include
 
 

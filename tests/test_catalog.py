@@ -40,3 +40,23 @@ def test_query(spark, oracle, name):
     got, want = catalog.QUERIES[name](spark, str(DATA)).toPandas(), oracle.sql(catalog.ORACLE_SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want)
+
+
+WHOLE = {
+    "entity_not_equal_all": "SELECT count(*) - 1 FROM customer",
+    "ext_cross_join_all": "SELECT (SELECT count(*) FROM region) * (SELECT count(*) FROM nation)",
+    "ext_explode_all": "SELECT sum(len(embedding)) FROM embeddings",
+    "embedded_projection_all": "SELECT count(DISTINCT l_orderkey) FROM lineitem",
+    "casts_all": "SELECT count(*) FROM orders",
+    "text_analyzer_tokens": "SELECT count(*) FROM part",
+}
+
+
+@pytest.mark.parametrize("name", sorted(WHOLE))
+def test_no_row_is_cut(spark, oracle, name):
+    assert catalog.QUERIES[name](spark, str(DATA)).count() == oracle.sql(WHOLE[name]).fetchall()[0][0]
+
+
+def test_token_filters_change_tokens(spark):
+    got = {r.key: r.tokens for r in catalog.QUERIES["text_analyzer_tokens"](spark, str(DATA)).collect()}
+    assert got[0] == "ymonoce 31b dloc" and got[2] == "91b egral tlob"
