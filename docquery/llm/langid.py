@@ -9,8 +9,11 @@ parsed in blocks of ``BLOCK`` bytes, all bytes of all blocks, so that many block
 
 Null texts and texts without a letter give ``und`` and score 0.  A tie goes to the language that sorts first.
 Repeated rows are judged row by row, and an empty table gives an empty result.  Without any labelled text every text
-is ``und``.  The sample is ``SAMPLE_ROWS`` rows of each language at most, those with the smallest hash in each of as many buckets, and whole rows
-are taken until ``SAMPLE_BYTES`` are reached.
+is ``und``.  Every language with a labelled text that has a letter is learned.  The sample is ``SAMPLE_ROWS`` rows of
+each language at most, those with the smallest hash in each of as many buckets, and whole rows are taken until
+``SAMPLE_BYTES`` are reached.  Texts of more than ``SAMPLE_BYTES`` characters are taken only where a language has no
+shorter one, and then cut to ``SAMPLE_BYTES`` in all.  Where the automata of all languages would take more than
+``TABLE_BYTES``, texts are parsed a chunk at a time against one block of languages after the other.
 """
 
 from __future__ import annotations
@@ -27,8 +30,8 @@ from docquery.llm import bytewords as bw
 
 #: Bounds of the fitted sample, for each language.
 SAMPLE_ROWS, SAMPLE_BYTES = 128, 60_000
-#: Languages with the most labelled rows that are learned.
-MAX_LANGUAGES = 200
+#: Bytes of automata that a worker holds at once, and bytes of text that it parses against each of several blocks.
+TABLE_BYTES, CHUNK_BYTES = 1 << 29, 1 << 25
 BLOCK = 256
 _LETTER = np.array([b >= 0x80 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A for b in range(256)])
 
@@ -124,15 +127,29 @@ class Parser:
         return out
 
 
-_parsers: dict[int, Parser] = {}
+def language_blocks(samples: dict[str, bytes], size: int) -> list[list[str]]:
+    """Languages in order, in blocks whose tables take ``size`` bytes at most (or of one language)."""
+    width, out, left = len({b for s in samples.values() for b in s}) + 1, [], 0
+    for lang in sorted(samples):
+        own = 8 * (len(samples[lang]) + 1) * width  # two states a byte at most, four bytes an entry
+        if not out or own > left:
+            out.append([])
+            left = size
+        out[-1].append(lang)
+        left -= own
+    return out
 
 
-def _parser(samples) -> Parser:
-    """Built once in each Python worker, from the broadcast sample."""
-    if samples.id not in _parsers:
+_parsers: dict[tuple[str, int], Parser] = {}
+_blocks: dict[tuple[str, int], list[list[str]]] = {}
+
+
+def _parser(samples, block: list[str], key: tuple[str, int]) -> Parser:
+    """The block built last in each Python worker, from the broadcast sample: a single block is built once."""
+    if key not in _parsers:
         _parsers.clear()
-        _parsers[samples.id] = Parser(samples.value)
-    return _parsers[samples.id]
+        _parsers[key] = Parser({k: samples.value[k] for k in block})
+    return _parsers[key]
 
 
 class _Sample:
@@ -147,58 +164,92 @@ class _Sample:
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
-def _predict(sample: _Sample, text: str, kept: list[str]):
+def _chunks(batches: Iterator[pa.RecordBatch], text: str, size: int) -> Iterator[list[pa.RecordBatch]]:
+    own, n = [], 0
+    for batch in batches:
+        own.append(batch)
+        n += batch.column(text).nbytes
+        if n >= size:
+            yield own
+            own, n = [], 0
+    if own:
+        yield own
+
+
+def _lettered(part: np.ndarray, own: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether each text has a letter."""
+    ascii_letters = np.zeros(len(part) + 1, np.int64)
+    np.cumsum(_LETTER[part] & (part < 0x80), out=ascii_letters[1:])
+    out = np.diff(ascii_letters[own]) > 0
+    for d in np.flatnonzero(~out & (np.diff(at) > 0)):
+        out[d] = any(ch.isalpha() for ch in part[own[d] : own[d + 1]].tobytes().decode())
+    return out
+
+
+def _predict(sample: _Sample, text: str, kept: list[str], table_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, scores = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
-            parser = _parser(sample)
-            data, offsets = bw.buffers(batch.column(text))
-            for i, j, part, own in bw.runs(data, offsets, 1 << 21):
-                clean, at = spaced(part, own)
-                counts = parser.phrases(clean, at) if parser.languages else np.zeros((j - i, 0))
-                ascii_letters = np.zeros(len(part) + 1, np.int64)
-                np.cumsum(_LETTER[part] & (part < 0x80), out=ascii_letters[1:])
-                lettered = np.diff(ascii_letters[own]) > 0
-                for d in np.flatnonzero(~lettered & (np.diff(at) > 0)):
-                    lettered[d] = any(ch.isalpha() for ch in part[own[d] : own[d + 1]].tobytes().decode())
-                if not parser.languages:
-                    continue
-                best = counts.argmin(axis=1)
-                share = 1.0 / np.maximum(counts, 1)
-                share /= share.sum(axis=1, keepdims=True)
-                for d in np.flatnonzero(lettered):
-                    langs[i + d], scores[i + d] = parser.languages[best[d]], share[d, best[d]]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(langs, pa.string()), pa.array(scores)], [*kept, *RESULT.names])
+        key = (sample.id, table_bytes)
+        if key not in _blocks:
+            _blocks.clear()
+            _blocks[key] = language_blocks(sample.value, table_bytes)
+        blocks = _blocks[key]
+        for chunk in _chunks(batches, text, CHUNK_BYTES if len(blocks) > 1 else 0):
+            least = [np.full(b.num_rows, np.iinfo(np.int64).max) for b in chunk]
+            shares, has = [np.zeros(b.num_rows) for b in chunk], [np.zeros(b.num_rows, bool) for b in chunk]
+            langs = [["und"] * b.num_rows for b in chunk]
+            for k, block in enumerate(blocks):
+                parser = _parser(sample, block, (f"{sample.id} {table_bytes}", k))
+                for n, batch in enumerate(chunk):
+                    data, offsets = bw.buffers(batch.column(text))
+                    for i, j, part, own in bw.runs(data, offsets, 1 << 21):
+                        clean, at = spaced(part, own)
+                        counts = parser.phrases(clean, at)
+                        if k == 0:
+                            has[n][i:j] = _lettered(part, own, at)
+                        shares[n][i:j] += (1.0 / np.maximum(counts, 1)).sum(axis=1)
+                        best = counts.argmin(axis=1)
+                        fewest = counts[np.arange(j - i), best]
+                        for d in np.flatnonzero(has[n][i:j] & (fewest < least[n][i:j])):
+                            langs[n][i + d] = parser.languages[best[d]]
+                        least[n][i:j] = np.minimum(least[n][i:j], fewest)
+            for n, batch in enumerate(chunk):
+                scores = np.where(has[n], 1.0 / np.maximum(least[n], 1) / np.where(has[n], shares[n], 1.0), 0.0)
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(langs[n], pa.string()), pa.array(scores)], [*kept, *RESULT.names])
 
     return run
 
 
 def language_samples(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> dict[str, bytes]:
-    """Letters of a bounded sample of whole labelled texts of each language.
+    """Letters of a bounded sample of labelled texts of each language.
 
     One row of each of ``rows`` hash buckets is taken, that of the smallest hash: an aggregate that Spark combines
     before the exchange, so that a language with most of the rows makes no large task.
     """
-    hashed = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0) & (F.length(text) <= size)).select(lang, text, F.xxhash64(text).alias("_h"))
-    picked = hashed.groupBy(lang, F.pmod("_h", F.lit(rows)).alias("_b")).agg(F.min("_h").alias("_h"))
-    counts = hashed.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MAX_LANGUAGES)
-    picked = picked.join(F.broadcast(counts), lang)  # MAX_LANGUAGES rows at most, and so rows * MAX_LANGUAGES of picked
-    chosen = hashed.join(F.broadcast(picked.select(lang, "_h")), [lang, "_h"]).dropDuplicates([lang, "_h"])
+    lettered = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"[^\x00-@\[-`{-\x7f]"))
+    hashed = lettered.select(lang, text, F.xxhash64(text).alias("_h"), (F.length(text) > size).alias("_long"))
+    picked = hashed.groupBy(lang, "_long", F.pmod("_h", F.lit(rows)).alias("_b")).agg(F.min("_h").alias("_h"))
+    kinds = picked.groupBy(lang).agg(F.min("_long").alias("_long"))  # long texts only where there are no others
+    picked = picked.join(F.broadcast(kinds), [lang, "_long"])
+    chosen = hashed.join(F.broadcast(picked.select(lang, "_long", "_h")), [lang, "_long", "_h"]).dropDuplicates([lang, "_h"])
+    letters = F.substring(F.regexp_replace(text, r"[\x00-@\[-`{-\x7f]+", " "), 1, size)
+    chosen = chosen.select(lang, "_h", "_long", F.when(F.col("_long"), letters).otherwise(F.col(text)).alias(text))
     out: dict[str, bytearray] = {}
     for r in chosen.orderBy(lang, "_h").toLocalIterator():
         data, offsets = bw.buffers(pa.array([r[text]]))
-        clean, _ = spaced(data, offsets)
+        clean = spaced(data, offsets)[0].tobytes()
         own = out.setdefault(r[lang], bytearray())
-        if len(own) + len(clean) <= size or not own:
-            own += clean.tobytes() + b" "
+        if r["_long"]:
+            clean = clean[: max(0, size - len(own))].decode(errors="ignore").encode()
+        if clean and (len(own) + len(clean) <= size or not own):
+            own += clean + b" "
     return {k: bytes(v) for k, v in out.items()}
 
 
-def identify(docs: DataFrame, samples: dict[str, bytes], text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, samples: dict[str, bytes], text: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
     """``docs`` with lang_pred and score: the winner's share of the inverse phrase counts."""
     docs = docs.drop(*(c for c in RESULT.names if c in docs.columns))
     sample = _Sample(docs.sparkSession.sparkContext.broadcast(samples), f"{hash(tuple(sorted(samples.items())))}")
-    return docs.mapInArrow(_predict(sample, text, docs.columns), T.StructType([*docs.schema.fields, *RESULT.fields]))
+    return docs.mapInArrow(_predict(sample, text, docs.columns, table_bytes), T.StructType([*docs.schema.fields, *RESULT.fields]))
 
 
 def remainder(column: str, n: int) -> Column:

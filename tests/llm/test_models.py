@@ -68,6 +68,21 @@ class TestLanguage:
         assert langid.identify(none, samples).count() == 0 and {r.lang_pred for r in langid.identify(odd, {}).collect()} == {"und"}
         assert langid.language_samples(none.withColumn("lang", F.lit("a"))) == {}
 
+    def test_every_language_is_learned(self, spark):
+        """More labels than any limit, and labels with long texts only."""
+        rows = [(f"word{chr(97 + k % 26)}{chr(97 + k // 26)} text here", f"l{k:03}") for k in range(230)]
+        rows += [("12 " * 40_000 + "é long" * 30_000, "long"), ("short one", "both"), ("q" * 70_000, "both"), ("123 !", "none")]
+        samples = langid.language_samples(spark.createDataFrame(rows, "text string, lang string"))
+        assert sorted(samples) == ["both", *(f"l{k:03}" for k in range(230)), "long"]
+        assert b"q" not in samples["both"] and 59_990 <= len(samples["long"]) <= langid.SAMPLE_BYTES + 1 and samples["long"].decode().count("é long") > 8_000
+
+    def test_blocks_of_languages_change_nothing(self, spark):
+        docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+        samples = {f"{k}{n}": v[n : n + 2000] for k, v in langid.language_samples(docs).items() for n in (0, 1000)}
+        assert len(langid.language_blocks(samples, 1 << 21)) > 2 and len(langid.language_blocks(samples, langid.TABLE_BYTES)) == 1
+        one, many = (sorted((r.doc_id, r.lang_pred, round(r.score, 12)) for r in langid.identify(docs.select("doc_id", "text"), samples, table_bytes=n).collect()) for n in (langid.TABLE_BYTES, 1 << 21))
+        assert one == many and len({x[1] for x in one}) > 3
+
 
 class TestQuality:
     def test_learns(self):
