@@ -75,10 +75,20 @@ class Notice:
                 out.append([a, b])
         return [(a, b) for a, b in out]
 
+    def _verified(self, text: str, a: int, b: int) -> Iterator:
+        """The best match of the range first, then those of the parts before and behind it."""
+        parts = [(a, b)]
+        while parts:
+            a, b = parts.pop()
+            m = self.pattern.search(text, a, b) if b - a >= len(self.phrase) - self.edits else None
+            if m:
+                yield m
+                parts += [(a, m.start()), (m.end(), b)]
+
     def matches(self, text: str) -> Iterator[tuple[int, int, int]]:
         """(start, end, edits) of verified matches that begin and end at word borders."""
         for a, b in self.windows(text):
-            for m in self.pattern.finditer(text, a, min(b, len(text))):
+            for m in self._verified(text, a, min(b, len(text))):
                 start, end = m.span()
                 start += len(m.group()) - len(m.group().lstrip(" "))
                 end -= len(m.group()) - len(m.group().rstrip(" "))

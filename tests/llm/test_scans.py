@@ -116,6 +116,36 @@ class TestLicenses:
                 own = "aa " + "".join(text) + " bb"
                 assert list(notice.matches(own)), (notice.phrase, own)
 
+    def test_adjacent_notices_against_brute_force(self):
+        """Each of several notices in one window is found, however close the others are; edits are the least there are."""
+
+        def distance(a, b):
+            row = list(range(len(b) + 1))
+            for i, x in enumerate(a, 1):
+                row, last = [i], row
+                for j, y in enumerate(b, 1):
+                    row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+            return row[-1]
+
+        rng = random.Random(7)
+        for notice in licenses.compiled():
+            for _ in range(6):
+                parts, text = [], ""
+                for _ in range(4):
+                    own = list(notice.phrase)
+                    for k in rng.sample(range(2, len(own) - 2), rng.randint(0, notice.edits)):
+                        own[k] = "z"
+                    parts.append((len(text), len(text) + len(own), "".join(own)))
+                    text += "".join(own) + " "
+                got = sorted(notice.matches(text))
+                assert len(got) == len(parts), (text, got)
+                for (a, b, own), (start, end, edits) in zip(parts, got):
+                    assert max(a, start) < min(b, end) and edits <= distance(own, notice.phrase) and distance(text[start:end], notice.phrase) <= notice.edits
+
+    def test_order_of_adjacent_notices(self, spark):
+        r = self.one(spark, "under the mti license under the mit license")
+        assert [(x.first_word, x.last_word, x.edits) for x in r.notices if x.label == "mit"] == [(0, 3, 2), (4, 7, 0)]
+
     def test_odd_rows(self, odd, none):
         got = licenses.scan(odd).collect()
         assert len(got) == 8 and all(r.labels == "" and r.score == 0 and r.first_word is None for r in got) and licenses.scan(none).count() == 0
