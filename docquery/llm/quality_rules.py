@@ -52,26 +52,31 @@ RULES = (
 )
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
+def measures(docs: DataFrame, text: str = "text", hash_bits: int = 40, long_text: int = 1 << 24) -> DataFrame:
     """All measures beside the input columns, in three projections: no exchange, no generator.
 
     ``transform(array(x), y -> ...)[0]`` binds ``x`` once, as a function inside a lambda would otherwise be evaluated
     again for every element.  Windows of three words become longs: 40 bits of a hash over 24 bits of the position,
-    which Spark sorts as primitives.  Neighbours that agree in the 40 bits (``_near``) are compared word by word.
-    A text may have 2**24 words, about 100 MB; a longer one fails loudly.
+    which Spark sorts as primitives.  Neighbours that agree in the 40 bits (``_near``) are compared word by word.  Where
+    any two differ, all windows of ``_near`` are sorted by their words instead, as equal ones need not be neighbours.
+    A text of ``long_text`` words or more has 33 bits of the hash over 31 bits of the position.
     """
     t = f"coalesce(`{text}`, '')"
     stop = ", ".join(f"'{w}'" for w in dict.fromkeys(x for w in STOP_WORDS for x in (w, w.capitalize())))
     first, last = "if(s[0] = '', 1, 0)", "if(size(s) > 1 AND element_at(s, -1) = '', 1, 0)"
     lines = f"filter(split({t}, '\\n'), l -> l RLIKE '[^\\\\x20\\\\x09-\\\\x0D]')"
     window = "shiftleft(get(v, i), 9) ^ shiftrightunsigned(get(v, i), 55) ^ shiftleft(get(v, i + 1), 37) ^ shiftrightunsigned(get(v, i + 1), 27) ^ h"
-    packed = f"transform(array(transform(_words, w -> xxhash64(w))), v -> sort_array(transform(slice(v, 3, size(v)), (h, i) -> (({window}) & -16777216L) | i)))[0]"
-    pairs = "filter(arrays_zip(p, slice(p, 2, size(p))), x -> (x.p ^ x['1']) BETWEEN 0L AND 16777215L)"
-    near = f"transform(array({packed}), p -> transform({pairs}, x -> struct(cast(x.p & 16777215L AS int) AS i, cast(x['1'] & 16777215L AS int) AS j)))[0]"
+    low, most = f"if(size(_words) < {long_text}, {(1 << 24) - 1}L, {(1 << 31) - 1}L)", (1 << (64 - hash_bits)) - 1
+    packed = f"transform(array(transform(_words, w -> xxhash64(w))), v -> sort_array(transform(slice(v, 3, size(v)), (h, i) -> (({window}) & ~({low} | {most}L)) | i)))[0]"
+    pairs = f"filter(arrays_zip(p, slice(p, 2, size(p))), x -> (x.p ^ x['1']) BETWEEN 0L AND {low})"
+    near = f"transform(array({packed}), p -> transform({pairs}, x -> struct(cast(x.p & {low} AS int) AS i, cast(x['1'] & {low} AS int) AS j)))[0]"
     same = "x -> _words[x.i] = _words[x.j] AND _words[x.i + 1] = _words[x.j + 1] AND _words[x.i + 2] = _words[x.j + 2]"
+    by_words = "sort_array(transform(array_distinct(concat(_near.i, _near.j)), i -> struct(_words[i] AS a, _words[i + 1] AS b, _words[i + 2] AS c, i AS i)))"
+    equal = "x -> x.w.a = x['1'].a AND x.w.b = x['1'].b AND x.w.c = x['1'].c"
+    sorted_pairs = f"transform(array({by_words}), w -> transform(filter(arrays_zip(w, slice(w, 2, size(w))), {equal}), x -> struct(x.w.i AS i, x['1'].i AS j)))[0]"
     repeated = f"""
         aggregate(
-          transform(array(filter(_near, {same})), f -> sort_array(array_distinct(concat(f.i, f.j))))[0],
+          transform(array(if(forall(_near, {same}), _near, {sorted_pairs})), f -> sort_array(array_distinct(concat(f.i, f.j))))[0],
           struct(-3 AS last, 0 AS n), (a, p) -> struct(p AS last, a.n + least(3, p - a.last) AS n), a -> a.n)"""
     out = docs.withColumns({
         # Not deterministic for the optimizer, so that no filter above is pushed below and has the words split in a lambda.
@@ -81,7 +86,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     })
     out = out.withColumn("_near", F.expr(f"if(size(_words) < 3, cast(array() AS array<struct<i: int, j: int>>), {near})"))
     return out.withColumns({
-        "n_words": F.expr("cast(if(size(_words) < 16777216, size(_words), raise_error('a text of 2**24 words or more')) AS bigint)"),
+        "n_words": F.expr("cast(size(_words) AS bigint)"),
         "word_chars": F.expr("cast(char_length(array_join(_words, '')) AS bigint)"),
         "n_lines": F.expr("cast(_lines.n AS bigint)"),
         "n_dup_lines": F.expr("cast(_lines.n - _lines.different AS bigint)"),

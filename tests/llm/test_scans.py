@@ -10,7 +10,7 @@ from hypothesis import strategies as some
 
 from docquery.llm import decontaminate as dc
 from docquery.llm import licenses, pii
-from docquery.llm.quality_rules import quality_rules
+from docquery.llm.quality_rules import measures, quality_rules
 
 SPACED = r"[^\x20\x09-\x0D]+"
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -38,6 +38,18 @@ class TestQualityRules:
             want = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", r.text)), len(lines) - len(set(lines)), len(covered))
             assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
 
+    @pytest.mark.parametrize("options", [{"hash_bits": 1}, {"hash_bits": 3}, {"long_text": 5}, {"hash_bits": 2, "long_text": 20}])
+    def test_colliding_windows_and_long_texts(self, spark, options):
+        """Few hash bits put other windows between equal ones; long texts need more bits of position."""
+        values = texts(3, "ab   ", 300, 120)
+        got = measures(spark.createDataFrame(list(enumerate(values)), "doc_id int, text string"), **options).collect()
+        assert len(got) == 300
+        for r in got:
+            words = re.findall(SPACED, r.text)
+            windows = Counter(zip(words, words[1:], words[2:]))
+            covered = {p for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for p in (i, i + 1, i + 2)}
+            assert (r.n_words, r.n_repeat_words) == (len(words), len(covered)), r.text
+
     def test_odd_rows(self, odd, none):
         got = quality_rules(odd)
         assert got.count() == 8 and got.where("NOT base_failed").count() == 0 and quality_rules(none).count() == 0
