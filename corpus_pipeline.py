@@ -26,13 +26,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the least id; rows that repeat as a whole stay once.
+    """Of each group of linked rows, the one with the least id; rows that repeat as a whole stay once.
 
-    Documents without an id belong to no group that could be named, and stay.
+    Rows are told apart by a stored key, so that of rows that share an id, or have none, one of a group stays too; a row
+    without an id comes after those with one.  Rows without a word belong to no group.
     """
-    docs = docs.select(COLUMNS)
-    stay = jaccard_components(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.where(F.col("doc_id").isNotNull()).join(stay, "doc_id", "left_semi").dropDuplicates(COLUMNS).unionByName(docs.where(F.col("doc_id").isNull())).select(COLUMNS)
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "pipeline-rows")
+    own = jaccard_components(rows.select("_row", "text"), "_row").join(rows.select("_row", "doc_id"), "_row")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("_least")
+    stay = own.groupBy("component_id").agg(least).select("_least._row")
+    return rows.join(stay, "_row", "left_semi").select(COLUMNS).dropDuplicates(COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -151,3 +151,11 @@ class TestPipeline:
                 assert "[EMAIL]" in r.text and "@" not in r.text and r.n_chars == len(r.text) and docs.columns == pipeline.COLUMNS
         assert seen == [[0, 1, 2, 3, 4, 5], [0, 3, 4, 5], [0, 3, 5], [0, 3, 5], [0, 3, 5]]
         assert docs.where("doc_id = 0").first().decoded_sha256 == hashlib.sha256(clean.encode()).hexdigest()
+
+    def test_rows_that_share_an_id_or_have_none(self, spark):
+        pipeline = pytest.importorskip("corpus_pipeline")
+        one, two, three = (" ".join(f"{w}{k}" for k in range(40)) for w in ("one", "two", "three"))
+        rows = [(1, one), (1, one + " more"), (2, two), (None, two), (None, three), (None, three), (None, three + " more"), (3, one), (4, ""), (None, None)]
+        docs = spark.createDataFrame([(k, t, "en", f"s{n}", 1) for n, (k, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+        got = pipeline.near_duplicates(spark, docs, "").collect()
+        assert sorted((r.doc_id or 0, (r.text or "")[:3]) for r in got) == [(0, ""), (0, "thr"), (1, "one"), (2, "two"), (4, "")]
