@@ -6,8 +6,9 @@ pair of the lowest rank first and of equal ranks the leftmost, until no pair has
 * ``encode_words`` folds the ranked merges with Spark higher-order functions over the byte arrays of distinct words.
   The rank map is a literal: an array of small maps by hash, since Spark searches a map from end to end.
 * ``encode`` counts words in every task, has the frequent ones (``CACHE_WORDS`` at most, a proven bound for the
-  broadcast) encoded by ``encode_words``, and looks up each word of each text.  A word that is not among them goes
-  through the same fold where it stands, once for each task, so no row is shuffled and nothing is left out.
+  broadcast) encoded by ``encode_words``, and looks up each word of each text.  Frequent are words of at most
+  ``LONG_WORD // 4`` = 16 characters that some task counted ``FREQUENT`` times.  Any other word goes through ``fold``,
+  a heap in Python with the same merges, where it stands, once for each task, so no row is shuffled and nothing is left out.
 * ``decode`` concatenates the binary pieces of the ids.
 
 A null text is an empty one; an empty text has no ids.  Repeated rows are encoded row by row; an empty table gives an
