@@ -18,7 +18,7 @@ probabilities sum to 1 over the vocabulary and the unknown word.
   for documents, and partial sums for histories, as only what a history adds is not known there.
 * Histories are gathered with the requests of unseen bigrams, and answer with log a(v).
 
-The tables of unigrams, bigrams and histories stay in the shared folder, in partitions.  Words are 64-bit hashes, and
+The tables of unigrams, bigrams and histories stay in the shared folder, as plain Parquet without partition columns.  Words are 64-bit hashes, and
 histories the upper 48 bits of them.
 
 A null or empty text is one end token.  Rows with a null in ``train`` teach nothing.  Repeated rows count as often as
