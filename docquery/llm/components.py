@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquery.llm.shared import stored
+from docquery.llm.shared import drop, stored
 
 MAX_ROUNDS = 60
 
@@ -20,11 +20,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     joined = both.join(least, "u")
     if large:
-        out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        down = joined.where("v < u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        out = down.unionByName(least.select("u", F.col("m").alias("v")))
-    return out.where("u != v").distinct()
+        return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+    down = joined.where("v < u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return down.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -35,8 +33,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break
-        seen, now = state, stored(_star(_star(now, True), False), name)
+        seen, last = state, now
+        now = stored(_star(_star(last, True), False), name)
+        drop(last)
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+    out = now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+    out._stored_at = now._stored_at
+    return out

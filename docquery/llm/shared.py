@@ -29,13 +29,18 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate table of the shared folder."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete stored tables after their last use.  Shuffle files of the steps before go with their plans."""
+    for df in tables:
+        path = getattr(df, "_stored_at", None)
+        if path:
+            hadoop = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def parts(spark: SparkSession) -> int:

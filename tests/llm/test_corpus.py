@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as some
@@ -65,7 +66,23 @@ class TestJaccard:
         want = sorted((d, c) for d in range(26) if (c := sum(d in x for x in lists)) >= least)
         assert sorted(jj.divide_skip(lists, least)) == want
 
-    @pytest.mark.parametrize("seed,block", [(1, 20_000), (2, 20_000), (3, 7)])
+    @settings(max_examples=100, deadline=None)
+    @given(some.lists(some.sets(some.integers(0, 12), min_size=1), min_size=1, max_size=12), some.integers(1, 100))
+    def test_index(self, sets, threshold):
+        """Each search of an index finds all that its set links to, with the probes of many lists at once."""
+        index = jj._Index([np.array(sorted(s), np.uint64) * np.uint64(0x9E3779B97F4A7C15 >> 3) for s in sets], threshold)
+        index.sets = [np.sort(s) for s in index.sets]
+        for q, own in enumerate(sets):
+            want = [k for k, s in enumerate(sets) if k != q and own & s and 100 * len(own & s) >= threshold * len(own | s)]
+            assert sorted(index.search(q)) == want
+
+    def test_links_across_the_parts_of_a_block(self):
+        """What the parts of a block leave apart is found by the sets that are asked."""
+        sets = [np.arange(k, k + 20, dtype=np.uint64) for k in range(0, 40, 2)]
+        found = dict(jj.search_parts(list(range(20)), sets, [0] * 10 + list(range(10, 20)), [k >= 10 for k in range(20)], 0, 75))
+        assert set(found.values()) == {0}
+
+    @pytest.mark.parametrize("seed,block", [(1, 20_000), (2, 20_000), (3, 7), (4, 3), (5, 2)])
     def test_against_brute_force(self, spark, seed, block):
         docs = corpus(seed)
         got = jj.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), block_sets=block).collect()
