@@ -18,8 +18,10 @@ probabilities sum to 1 over the vocabulary and the unknown word.
   for documents, and partial sums for histories, as only what a history adds is not known there.
 * Histories are gathered with the requests of unseen bigrams, and answer with log a(v).
 
-The tables of unigrams, bigrams and histories stay in the shared folder, as plain Parquet without partition columns.  Words are 64-bit hashes, and
-histories the upper 48 bits of them.
+A partition holds about ``PART_BYTES`` of text, whatever the corpus: their number follows from its size.  What is sent is
+packed: sorted hashes by differences, sums in units of 2**-32.  The tables of unigrams and of histories with their weights,
+and that of bigrams where asked for, stay in the shared folder, partitioned by part or kind.  Words are 64-bit hashes, and
+histories the upper 48 bits of them: with V words, about V**2 / 2**49 pairs of histories are taken for one.
 
 A null or empty text is one end token.  Rows with a null in ``train`` teach nothing.  Repeated rows count as often as
 they stand; an empty table gives an empty result; other columns are not kept.
@@ -33,12 +35,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquery.llm import bytewords as bw
-from docquery.llm.shared import parts, release, stored
+from docquery.llm.shared import release, stored
 
 K, DELTA, HOT = 5, 0.1, 4096
 #: Tokens and documents packed at once by a task.
@@ -46,6 +49,9 @@ CHUNK_TOKENS, CHUNK_DOCS = 1_200_000, 60_000
 _U = np.uint64
 _END, _START = _U(0x7C15A0E5D1B54A33), _U(0x1B873593CC9E2D51)
 _LOW = 16
+_HISTORY = _U((1 << 48) - 1)
+#: Bytes of text for each partition of packed bigrams, and words in a partition of unigrams, about.
+PART_BYTES = 12 << 20
 
 
 @dataclass(frozen=True)
@@ -86,6 +92,34 @@ class Unigrams:
         return np.where(counts > 0, self.discounts.mass(counts) / max(self.tokens, 1), self.unknown)
 
 
+def _shrunk(values: np.ndarray) -> bytes:
+    """An array by planes of bytes, compressed."""
+    return zstandard.compress(np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T).tobytes(), 1)
+
+
+def _grown(packed: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _steps(values: np.ndarray) -> bytes:
+    """Histories in rising order, or in runs of it, by their differences."""
+    return _shrunk(np.diff(values, prepend=_U(0)) & _HISTORY)
+
+
+def _histories(packed: bytes) -> np.ndarray:
+    return np.cumsum(_grown(packed, np.uint64), dtype=np.uint64) & _HISTORY
+
+
+def _fixed(sums: np.ndarray) -> bytes:
+    """Sums of logarithms in units of 2**-32."""
+    return _shrunk(np.rint(sums * 2.0**32).astype(np.int64))
+
+
+def _float(packed: bytes) -> np.ndarray:
+    return _grown(packed, np.int64) / 2.0**32
+
+
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens with the end of each text, the token before each, and the text of each."""
     starts, ends, bounds = bw.word_bounds(data, offsets, bw.SPACED)
@@ -103,7 +137,7 @@ def _unigram_scan(text: str, count: int):
             words, at = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
             counts = np.bincount(at, np.concatenate([c for _, c in held])).astype(np.int64)
             own = (words % _U(count)).astype(np.int64)
-            rows = [(p, words[own == p].tobytes(), counts[own == p].tobytes()) for p in np.unique(own).tolist()]
+            rows = [(p, _shrunk(words[own == p]), _shrunk(counts[own == p])) for p in np.unique(own).tolist()]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names)
 
         for batch in batches:
@@ -124,17 +158,16 @@ def _unigram_scan(text: str, count: int):
 
 def _unigram_sums(key, table):
     """Counts of all words of one partition."""
-    words = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table.column("words")])
-    counts = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("counts")])
+    words = np.concatenate([_grown(x.as_py(), np.uint64) for x in table.column("words")])
+    counts = np.concatenate([_grown(x.as_py(), np.int64) for x in table.column("counts")])
     words, at = np.unique(words, return_inverse=True)
     return pa.Table.from_arrays([pa.array(np.full(len(words), key[0].as_py(), np.int32)), pa.array(words.view(np.int64)), pa.array(np.bincount(at, counts).astype(np.int64))], ["part", "word", "n"])
 
 
-def count_unigrams(docs: DataFrame, text: str) -> tuple[DataFrame, Unigrams]:
+def count_unigrams(docs: DataFrame, text: str, count: int) -> tuple[DataFrame, Unigrams]:
     """The table (part, word, n) and what every task knows of it."""
-    count = parts(docs.sparkSession)
     packed = docs.select(text, "_train").mapInArrow(_unigram_scan(text, count), "part int, words binary, counts binary")
-    table = stored(packed.groupBy("part").applyInArrow(_unigram_sums, "part int, word long, n long"), "katz-unigrams")
+    table = stored(packed.groupBy("part").applyInArrow(_unigram_sums, "part int, word long, n long"), "katz-unigrams", ["part"])
     low = [F.sum(F.when(F.col("n") == r, 1).otherwise(0)) for r in range(1, K + 2)]
     n, v, *types = (x or 0 for x in table.agg(F.sum("n"), F.count("*"), *low).first())
     hot = table.where(F.col("n") * HOT > n).select("word", "n").orderBy("word").collect()  # fewer than HOT words
@@ -146,7 +179,7 @@ def count_unigrams(docs: DataFrame, text: str) -> tuple[DataFrame, Unigrams]:
     return table, Unigrams(n, v, n_docs, discounts, 1 - seen / n if n else 1.0, words[order], np.array([r["n"] for r in hot], np.int64)[order])
 
 
-_COLUMNS = ["w", "per_w", "v_high", "v_low", "counts", "places", "docs"]
+_COLUMNS = ["w", "per_w", "v", "counts", "places", "docs"]
 
 
 def _bigram_scan(known, key: str, text: str, count: int):
@@ -176,16 +209,16 @@ def _bigram_scan(known, key: str, text: str, count: int):
             tw, tv, tp = w[first], v[first], part[first]
             cuts, place_cuts = np.searchsorted(tp, np.arange(count + 1)), np.searchsorted(part, np.arange(count + 1))
             name = base + chunk
-            rows = [(int(bw.mix(np.array([name], np.uint64))[0] % _U(count)), pa.concat_arrays(keys), [None] * 7)]
+            rows = [(int(bw.mix(np.array([name], np.uint64))[0] % _U(count)), pa.concat_arrays(keys), [None] * 6)]
             for p in np.flatnonzero(np.diff(cuts)):
                 a, b = cuts[p], cuts[p + 1]
                 at = np.flatnonzero(np.concatenate([[True], tw[a + 1 : b] != tw[a : b - 1]]))
                 rows.append((int(p), None, [
-                    tw[a:b][at].tobytes(), np.diff(np.append(at, b - a)).astype(np.uint32).tobytes(), (tv[a:b] >> _U(16)).astype(np.uint32).tobytes(), (tv[a:b] & _U(0xFFFF)).astype(np.uint16).tobytes(),
-                    counts[a:b].astype(np.uint32).tobytes(), places[a:b].astype(np.uint32).tobytes(), d[place_cuts[p] : place_cuts[p + 1]].astype(np.uint16).tobytes()]))
-            rows[0][2][:2] = [head.astype(np.int64).tobytes(), learn.astype(np.uint8).tobytes()]
+                    _shrunk(tw[a:b][at]), _shrunk(np.diff(np.append(at, b - a)).astype(np.uint32)), _steps(tv[a:b]), _shrunk(counts[a:b].astype(np.uint32)),
+                    _shrunk(places[a:b].astype(np.uint32)), _shrunk(d[place_cuts[p] : place_cuts[p + 1]].astype(np.uint16))]))
+            rows[0][2][:2] = [_shrunk(head.astype(np.int64)), _shrunk(learn.astype(np.uint8))]
             columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([name] * len(rows), pa.int64()), pa.array([None if r[1] is None else r[1].to_pylist() for r in rows], pa.list_(kind))]
-            return pa.RecordBatch.from_arrays([*columns, *[pa.array([r[2][k] for r in rows], pa.binary()) for k in range(7)]], ["part", "chunk", "keys", *_COLUMNS])
+            return pa.RecordBatch.from_arrays([*columns, *[pa.array([r[2][k] for r in rows], pa.binary()) for k in range(6)]], ["part", "chunk", "keys", *_COLUMNS])
 
         for batch in batches:
             data, offsets = bw.buffers(batch.column(text))
@@ -210,22 +243,22 @@ def _bigram_scan(known, key: str, text: str, count: int):
 
 
 _FOUND = T.StructType([
-    T.StructField("part", T.IntegerType()), T.StructField("chunk", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in "abcdefg"], T.StructField("kind", T.StringType())])
+    T.StructField("part", T.IntegerType()), T.StructField("chunk", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in "abcde"], T.StructField("kind", T.StringType())])
 
 
 def _found(rows: list[tuple], keys: pa.DataType) -> pa.Table:
     """Rows (kind, part, chunk, keys, binaries) as a table of _FOUND with keys."""
-    wide = [[*r[4], *[None] * (7 - len(r[4]))] for r in rows]
-    columns = [pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64()), *[pa.array([x[k] for x in wide], pa.binary()) for k in range(7)]]
+    wide = [[*r[4], *[None] * (5 - len(r[4]))] for r in rows]
+    columns = [pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64()), *[pa.array([x[k] for x in wide], pa.binary()) for k in range(5)]]
     return pa.Table.from_arrays([pa.array([r[3] for r in rows], keys), *columns, pa.array([r[0] for r in rows], pa.string())], ["keys", *_FOUND.names])
 
 
 def _read(table: pa.Table, column: str, kind) -> list[np.ndarray]:
-    return [np.frombuffer(x, kind) for x in table.column(column).to_pylist()]
+    return [_grown(x.as_py(), kind) for x in table.column(column)]
 
 
-def _weigh(known, count: int):
-    """For the bigrams of one partition: partial sums of documents and of histories, requests, and the counts."""
+def _weigh(known, count: int, bigrams: bool):
+    """For the bigrams of one partition: partial sums of documents and of histories, requests, and the counts if asked for."""
 
     def run(key, table):
         model = known.value
@@ -235,11 +268,11 @@ def _weigh(known, count: int):
         if not table.num_rows:
             return _found(out, kind)
         chunks = table.column("chunk").to_pylist()
-        high, low = _read(table, "v_high", np.uint32), _read(table, "v_low", np.uint16)
-        cuts = np.cumsum([0, *[len(x) for x in high]])
+        vs = [_histories(x.as_py()) for x in table.column("v")]
+        cuts = np.cumsum([0, *[len(x) for x in vs]])
         w = np.concatenate([np.repeat(a, b) for a, b in zip(_read(table, "w", np.uint64), _read(table, "per_w", np.uint32))])
-        v = (np.concatenate(high).astype(np.uint64) << _U(16)) | np.concatenate(low)
-        del high, low
+        v = np.concatenate(vs)
+        del vs
         order = np.lexsort((v, w))
         w, v = w[order], v[order]
         new = np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])])
@@ -257,17 +290,27 @@ def _weigh(known, count: int):
         n, p = n[word], model.probability(n)[word]
 
         seen = np.flatnonzero(r > 0)
-        hv, at = np.unique(gv[seen], return_inverse=True)
-        rs = r[seen]
-        tally = [np.bincount(at, rs == k, len(hv)).astype(np.uint32) for k in range(1, K + 1)] + [np.bincount(at, rs > K, len(hv)).astype(np.uint32)]
-        total, mass = np.bincount(at, rs * (rs > K), len(hv)), np.bincount(at, p[seen], len(hv))
+        # Most histories have one word here: of those its two counts say all; of the others, sums.
+        hv, at, many = np.unique(gv[seen], return_inverse=True, return_counts=True)
+        rs, single = r[seen], many[at] == 1
+        order = np.argsort(gv[seen][single])
+        v1, r1, n1 = (x[seen][single][order] for x in (gv, r, n))
+        own = (bw.mix(v1) % _U(count)).astype(np.int64)
+        for q in np.unique(own).tolist():
+            m = own == q
+            out.append(("single", q, 0, None, [_steps(v1[m]), _shrunk(r1[m]), _shrunk(n1[m])]))
+        hv, at = np.unique(gv[seen][~single], return_inverse=True)
+        r2 = rs[~single]
+        tally = np.stack([np.bincount(at, r2 == k, len(hv)).astype(np.uint32) for k in range(1, K + 1)] + [np.bincount(at, r2 > K, len(hv)).astype(np.uint32)])
+        total, mass = np.bincount(at, r2 * (r2 > K), len(hv)), np.bincount(at, p[seen][~single], len(hv))
         own = (bw.mix(hv) % _U(count)).astype(np.int64)
         for q in np.unique(own).tolist():
             m = own == q
-            out.append(("history", q, 0, None, [hv[m].tobytes(), np.stack(tally)[:, m].tobytes(), total[m].tobytes(), mass[m].tobytes()]))
+            out.append(("history", q, 0, None, [_steps(hv[m]), _shrunk(tally[:, m]), _shrunk(total[m].astype(np.float64)), _shrunk(mass[m].astype(np.float64))]))
         out.append(("types", 0, 0, None, [np.bincount(np.minimum(rs, K + 2), minlength=K + 3)[: K + 2].astype(np.int64).tobytes()]))
-        per_w = np.bincount(word[seen], minlength=len(words))
-        out.append(("bigrams", key[0].as_py(), 0, None, [words[per_w > 0].tobytes(), per_w[per_w > 0].astype(np.uint32).tobytes(), (gv[seen] >> _U(16)).astype(np.uint32).tobytes(), (gv[seen] & _U(0xFFFF)).astype(np.uint16).tobytes(), rs.astype(np.uint32).tobytes()]))
+        if bigrams:
+            out.append(("bigrams", key[0].as_py(), 0, None, [_shrunk(gw[seen]), _shrunk(gv[seen]), _shrunk(rs)]))
+        del hv, at, many, order, v1, r1, n1, own, r2, tally, total, mass, single, rs
 
         with np.errstate(divide="ignore"):
             value = np.where(r > K, np.log10(np.maximum(r - DELTA, DELTA)), np.where(r > 0, np.log10(np.maximum(r, 1)), np.log10(p)))
@@ -276,13 +319,13 @@ def _weigh(known, count: int):
         del p, word, words, first
         places, docs = table.column("places"), table.column("docs")
         for c, chunk in enumerate(chunks):  # the places of one chunk at a time
-            t = np.repeat(bigram[cuts[c] : cuts[c + 1]], np.frombuffer(places[c].as_py(), np.uint32))
-            doc = np.frombuffer(docs[c].as_py(), np.uint16)
+            t = np.repeat(bigram[cuts[c] : cuts[c + 1]], _grown(places[c].as_py(), np.uint32))
+            doc = _grown(docs[c].as_py(), np.uint16)
             ids, at = np.unique(doc, return_inverse=True)
             rt = r[t]
             sums = [np.bincount(at, x[t], len(ids)) for x in (base, value)] + [np.bincount(at, n[t] > 0, len(ids)).astype(np.uint32)]
             low_counts = np.stack([np.bincount(at, rt == k, len(ids)).astype(np.uint32) for k in range(1, K + 1)])
-            out.append(("docs", 0, chunk, None, [ids.tobytes(), *[x.tobytes() for x in sums], low_counts.tobytes()]))
+            out.append(("docs", 0, chunk, None, [_shrunk(ids), _fixed(sums[0]), _fixed(sums[1]), _shrunk(sums[2]), _shrunk(low_counts)]))
             ask = np.flatnonzero(rt == 0)
             asked, doc = gv[t[ask]], doc[ask]
             own = (bw.mix(asked) % _U(count)).astype(np.int64)
@@ -290,34 +333,44 @@ def _weigh(known, count: int):
             asked, doc, own = asked[order], doc[order], own[order]
             for q in np.unique(own):
                 a, b = np.searchsorted(own, [q, q + 1])
-                out.append(("requests", int(q), chunk, None, [(asked[a:b] >> _U(16)).astype(np.uint32).tobytes(), (asked[a:b] & _U(0xFFFF)).astype(np.uint16).tobytes(), doc[a:b].tobytes()]))
+                out.append(("requests", int(q), chunk, None, [_shrunk(asked[a:b]), _shrunk(doc[a:b])]))
         return _found(out, kind)
 
     return run
 
 
-def _answer(discounts: Discounts, kind: pa.DataType):
+def _answer(known, discounts: Discounts, kind: pa.DataType):
     """Backoff weights of one partition's histories, and the sums of documents that asked for them."""
 
     def run(key, table):
-        kinds = np.array(table.column("kind").to_pylist())
-        own, asks = table.filter(pa.array(kinds == "history")), table.filter(pa.array(kinds == "requests"))
-        v, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *_read(own, "a", np.uint64)]), return_inverse=True)
+        model, kinds = known.value, np.array(table.column("kind").to_pylist())
+        own, single, asks = (table.filter(pa.array(kinds == k)) for k in ("history", "single", "requests"))
+        none, nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        first = [_histories(x.as_py()) for x in own.column("a")]
+        v1 = np.concatenate([none, *[_histories(x.as_py()) for x in single.column("a")]])
+        r1, n1 = (np.concatenate([nothing, *_read(single, c, np.int64)]) for c in "bc")
+        v, at = np.unique(np.concatenate([none, *first, v1]), return_inverse=True)
+        at, at1 = at[: len(at) - len(v1)], at[len(at) - len(v1) :]
         tally = np.concatenate([np.zeros((K + 1, 0), np.uint32), *[x.reshape(K + 1, -1) for x in _read(own, "b", np.uint32)]], axis=1)
-        total, mass = (np.bincount(at, np.concatenate([np.zeros(0), *_read(own, c, np.float64)]), len(v)) for c in "cd")
-        tally = np.stack([np.bincount(at, x, len(v)) for x in tally])
+        total, mass = (np.bincount(at, np.concatenate([np.zeros(0), *_read(own, c, np.float64)]), len(v)).astype(np.float64) for c in "cd")
+        tally = np.stack([np.bincount(at, x, len(v)).astype(np.float64) for x in tally])
+        for k in range(1, K + 1):
+            tally[k - 1] += np.bincount(at1, r1 == k, len(v))
+        tally[K] += np.bincount(at1, r1 > K, len(v))
+        total += np.bincount(at1, r1 * (r1 > K), len(v))
+        mass += np.bincount(at1, model.probability(n1), len(v))
+        del first, v1, r1, n1, at, at1
         low = np.arange(1, K + 1)[:, None] * tally[:K]
         count = low.sum(axis=0) + total
         left = ((1 - np.array(discounts.ratios))[:, None] * low).sum(axis=0) + DELTA * tally[K]
         weight = left / np.maximum(count, 1) / np.maximum(1 - mass, 1e-300)
-        out = [("weights", key[0].as_py(), 0, None, [v.tobytes(), count.tobytes(), weight.tobytes()])]
+        out = [("weights", key[0].as_py(), 0, None, [_shrunk(v), _shrunk(count), _shrunk(weight)])]
         value = np.log10(weight) + np.log10(count)
-        for chunk, a, b, doc in zip(asks.column("chunk").to_pylist(), _read(asks, "a", np.uint32), _read(asks, "b", np.uint16), _read(asks, "c", np.uint16)):
-            asked = (a.astype(np.uint64) << _U(16)) | b
+        for chunk, asked, doc in zip(asks.column("chunk").to_pylist(), _read(asks, "a", np.uint64), _read(asks, "b", np.uint16)):
             at = np.minimum(np.searchsorted(v, asked), max(len(v) - 1, 0))
             got = np.where(v[at] == asked, value[at], 0.0) if len(v) else np.zeros(len(asked))
             ids, at = np.unique(doc, return_inverse=True)
-            out.append(("answers", 0, chunk, None, [ids.tobytes(), np.bincount(at, got).tobytes()]))
+            out.append(("answers", 0, chunk, None, [_shrunk(ids), _fixed(np.bincount(at, got))]))
         return _found(out, kind)
 
     return run
@@ -330,44 +383,49 @@ def _finish(model: Unigrams, discounts: Discounts, schema: list[str]):
         kinds = table.column("kind").to_pylist()
         head = kinds.index("head")
         keys = table.column("keys")[head].values
-        tokens, learn = (np.frombuffer(table.column(c)[head].as_py(), t) for c, t in (("a", np.int64), ("b", np.uint8)))
+        tokens, learn = (_grown(table.column(c)[head].as_py(), t) for c, t in (("a", np.int64), ("b", np.uint8)))
         n = len(tokens)
         known, base, score = np.zeros(n, np.int64), np.zeros(n), np.full(n, -np.log10(model.docs) if model.docs else 0.0)
         ratios = np.log10(discounts.ratios)
         for kind, a, b, c, d, e in zip(kinds, *(table.column(x).to_pylist() for x in "abcde")):
             if kind == "head":
                 continue
-            at = np.frombuffer(a, np.uint16)
+            at = _grown(a, np.uint16)
             if kind == "answers":
-                score[at] += np.frombuffer(b, np.float64)
+                score[at] += _float(b)
                 continue
-            base[at] += np.frombuffer(b, np.float64)
-            score[at] += np.frombuffer(c, np.float64) + ratios @ np.frombuffer(e, np.uint32).reshape(K, -1)
-            known[at] += np.frombuffer(d, np.uint32)
+            base[at] += _float(b)
+            score[at] += _float(c) + ratios @ _grown(e, np.uint32).reshape(K, -1)
+            known[at] += _grown(d, np.uint32)
         return pa.Table.from_arrays([keys, pa.array(learn.astype(bool)), pa.array(tokens), pa.array(known), pa.array(np.full(n, model.tokens, np.int64)), pa.array(base), pa.array(score)], schema)
 
     return run
 
 
-def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, learned, n_tokens, n_known, train_tokens, base_score, score) of every row; ``train`` marks what is learned from."""
+def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", bigrams: bool = False) -> DataFrame:
+    """(key, learned, n_tokens, n_known, train_tokens, base_score, score) of every row; ``train`` marks what is learned from.
+
+    ``bigrams`` keeps the table of bigram counts too, beside those of unigrams and histories; the scores do not read it.
+    """
     spark = docs.sparkSession
-    count, docs = parts(spark), docs.select(key, text, train.alias("_train"))
-    _, model = count_unigrams(docs, text)
+    docs = docs.select(key, text, train.alias("_train"))
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    count = max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
+    _, model = count_unigrams(docs, text, count)
     known = spark.sparkContext.broadcast(model)
     keys = T.StructField("keys", T.ArrayType(docs.schema[key].dataType))
     packed = docs.mapInArrow(_bigram_scan(known, key, text, count), T.StructType([T.StructField("part", T.IntegerType()), T.StructField("chunk", T.LongType()), keys, *[T.StructField(c, T.BinaryType()) for c in _COLUMNS]]))
     found_schema = T.StructType([keys, *_FOUND.fields])
-    found = stored(packed.groupBy("part").applyInArrow(_weigh(known, count), found_schema), "katz-counts")
+    found = stored(packed.groupBy("part").applyInArrow(_weigh(known, count, bigrams), found_schema), "katz-counts", ["kind"])
     del packed
     release(spark)
     types = np.zeros(K + 2, np.int64)
     for r in found.where("kind = 'types'").select("a").toLocalIterator():
         types += np.frombuffer(r["a"], np.int64)
     discounts = Discounts.of(types.tolist())
-    sides = found.where("kind IN ('history', 'requests')")
+    sides = found.where("kind IN ('history', 'single', 'requests')")
     kind = _arrow_type(found)
-    weights = stored(sides.groupBy("part").applyInArrow(_answer(discounts, kind), found_schema), "katz-weights")
+    weights = stored(sides.groupBy("part").applyInArrow(_answer(known, discounts, kind), found_schema), "katz-weights", ["kind"])
     rows = found.where("kind IN ('head', 'docs')").unionByName(weights.where("kind = 'answers'"))
     names = [key, "learned", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     types_ = [T.BooleanType(), T.LongType(), T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()]

@@ -20,6 +20,7 @@ from docquery.llm import quality_gbt as gbt
 RANKS = bpe.read_ranks(None, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 ENCODING = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 SMALL = "/root/testdata/sf0.01"
+katz_stored = katz.stored
 
 
 class TestWords:
@@ -158,6 +159,27 @@ class TestKatz:
             assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
             assert math.isclose(r.base_score, base, rel_tol=1e-9) and math.isclose(r.score, score, rel_tol=1e-9)
 
+    @settings(max_examples=100, deadline=None)
+    @given(some.lists(some.integers(0, 2**48 - 1), max_size=40), some.lists(some.floats(-1e5, 0), max_size=20))
+    def test_packing(self, histories, sums):
+        own = np.array(histories, np.uint64)
+        assert katz._histories(katz._steps(own)).tolist() == histories and katz._grown(katz._shrunk(own), np.uint64).tolist() == histories
+        assert np.allclose(katz._float(katz._fixed(np.array(sums, float))), sums, rtol=0, atol=2.0**-32)
+
+    def test_tables(self, spark, monkeypatch):
+        """Small partitions give the same scores, and the table of bigrams has each count."""
+        docs, found = spark.createDataFrame([(k, f"a b c{k % 3} a b") for k in range(50)], "doc_id long, text string"), []
+        want = {r.doc_id: r.score for r in katz.score(docs, F.lit(True)).collect()}
+        monkeypatch.setattr(katz, "PART_BYTES", 40)
+        monkeypatch.setattr(katz, "stored", lambda df, *names: found.append(katz_stored(df, *names)) or found[-1])
+        got = {r.doc_id: r.score for r in katz.score(docs, F.lit(True), bigrams=True).collect()}
+        assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+        counts = Counter()
+        for r in found[1].where("kind = 'bigrams'").collect():
+            w, v, n = (katz._grown(x, t) for x, t in zip((r.a, r.b, r.c), (np.uint64, np.uint64, np.int64)))
+            counts.update(dict(zip(zip(w.tolist(), v.tolist()), n.tolist())))
+        assert sorted(counts.values()) == sorted([50, 100, 50, *[17, 17, 16] * 2])
+
     def test_odd_rows(self, odd, none):
         got = katz.score(odd, F.col("doc_id") > 0).collect()
         assert len(got) == 8 and all(np.isfinite(r.score) and r.n_tokens >= 1 for r in got)
