@@ -18,8 +18,10 @@ from docquery.functions import nulls
 from docquery.functions import strings as st
 from docquery.operators import bulk, textindex
 from docquery.operators.query import Query
+from docquery.operators.unit_of_work import ConcurrencyError, UnitOfWork
 from docquery.operators.vector import vector_search
 from docquery.plans.model import EntityType, Index, Model, Nav, Prop
+from docquery.sources import storage
 from docquery.sources.session import Session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -677,3 +679,211 @@ def text_analyzer_tokens(s):
 def complex_query(s):
     q = s.set("Order").where(lambda o: o.total > 1000).order_by_descending("date").then_by("key").skip(50).take(1500)
     return q.include("customer").select("key", "status", "total", customer=F.col("customer.name"))
+
+
+# -- the rest of the operators: whole tables, each against its SQL
+
+
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 150000")
+def except_filtered(s):
+    return s.set("Customer").select(k="key").except_(s.set("Order").where(lambda o: o.total > 150000).select(k="customer_key"))
+
+
+@query("SELECT c_custkey AS key FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 150000)")
+def anti_join_filtered(s):
+    return s.set("Customer").anti_join(s.set("Order").where(lambda o: o.total > 150000), "key", "customer_key").select("key")
+
+
+@query("SELECT o_orderkey AS key, CAST(o_totalprice / 3 AS BIGINT) AS n FROM orders")
+def convert_half_even(s):
+    return s.set("Order").select("key", n=lambda o: ma.to_whole(o.total / 3))
+
+
+@query("SELECT p_partkey AS key, p_name AS both, '\u00a0' || p_name || '\u2003' AS wrapped, p_name || '\u2003' AS left_cut, false AS blank, true AS nothing FROM part")
+def str_unicode_space(s):
+    wrapped = lambda p: st.concat(F.lit("\u00a0"), p.name, F.lit("\u2003"))
+    return s.set("Part").select("key", both=lambda p: st.trim(wrapped(p)), wrapped=wrapped, left_cut=lambda p: st.trim_start(wrapped(p)), blank=lambda p: st.is_null_or_white_space(wrapped(p)), nothing=lambda p: st.is_null_or_white_space(F.lit("\u00a0\u2003")))
+
+
+@query("SELECT o_orderkey AS key FROM orders")
+def where_constant_true(s):
+    return s.set("Order").where(lambda o: F.lit(True)).select("key")
+
+
+@query("SELECT NULL::BIGINT AS key")
+def default_if_empty_none(s):
+    return s.set("Order").where(lambda o: o.total < 0).select("key").default_if_empty()
+
+
+@query("SELECT n_nationkey AS key FROM nation")
+def default_if_empty_some(s):
+    return s.set("Nation").select("key").default_if_empty()
+
+
+@query("SELECT k, n FROM (SELECT c_nationkey AS k, 0 AS n FROM customer WHERE c_acctbal > 9900 UNION ALL SELECT s_nationkey, count(*) FROM supplier GROUP BY 1)")
+def concat_with_group(s):
+    left = s.set("Customer").where(lambda c: c.balance > 9900).select(k="nation_key", n=lambda c: F.lit(0).cast("long"))
+    return left.concat(s.set("Supplier").group_by("nation_key", n=F.count("*")).select(k="nation_key", n="n"))
+
+
+@query("SELECT o_orderkey AS key, c_name AS customer FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 190000 OR o_orderstatus = 'P'")
+def include_over_union(s):
+    q = s.set("Order")
+    return q.where(lambda o: o.total > 190000).union(q.where(lambda o: o.status == "P")).include("customer").select("key", customer=F.col("customer.name"))
+
+
+_TYPED = Model.of(
+    EntityType("Event", "events", _props("key:long:event_id user:long:user_id value:double"), ("key",), discriminator="event_type", value="view"),
+    EntityType("Click", base="Event", value="click"),
+    EntityType("Purchase", base="Click", value="purchase"),
+    EntityType("Large", "orders", (Prop("key", "long", "o_orderkey"), Prop("total", "double", "o_totalprice")), ("key",), query_filter=lambda o: o.total > 100000),
+    EntityType("Account", "customer", (Prop("key", "long", "c_custkey"), Prop("cents", "long", "c_acctbal", to_store=lambda c: c / 100, from_store=lambda c: F.round(c * 100).cast("long"), stored_type="double")), ("key",)),
+)
+
+
+def _typed(s: Session) -> Session:
+    return Session(s.spark, s.root, _TYPED)
+
+
+@query("SELECT event_id AS key, event_type = 'purchase' AS bought FROM events WHERE event_type IN ('click', 'purchase') AND value > 10")
+def hierarchy_of_type(s):
+    clicks = _typed(s).set("Event").of_type("Click")
+    return clicks.where(lambda e: e.value > 10).select("key", bought=clicks.is_type("Purchase"))
+
+
+@query("SELECT event_id AS key, value FROM events WHERE event_type = 'purchase'")
+def hierarchy_cast(s):
+    return _typed(s).set("Purchase").cast("Event").select("key", "value")
+
+
+@query("SELECT count(*) AS n, (SELECT count(*) FROM orders) AS everything FROM orders WHERE o_totalprice > 100000")
+def query_filter(s):
+    t = _typed(s)
+    return t.set("Large").count_df(name="n").crossJoin(t.set("Large", ignore_filters=True).count_df(name="everything"))
+
+
+@query("SELECT c_custkey AS key, CAST(round(c_acctbal * 100) AS BIGINT) AS cents FROM customer WHERE round(c_acctbal * 100) >= 500000")
+def converted_property(s):
+    return _typed(s).set("Account").where(lambda a: a.cents >= 500000).select("key", "cents")
+
+
+@query("SELECT event_id AS key, event_id % 3 <> 1 AS there, event_id % 3 = 0 AS empty, event_id % 3 = 1 AS missing FROM events")
+def missing_and_null(s):
+    raw = F.parse_json(F.when(F.col("key") % 3 == 0, F.lit('{"k": null}')).when(F.col("key") % 3 == 1, F.lit("{}")).otherwise(F.col("props")))
+    return s.set("Event").select("key", there=nulls.variant_exists(raw, "$.k"), empty=nulls.variant_is_null(raw, "$.k"), missing=nulls.variant_is_missing(raw, "$.k"))
+
+
+_INT8 = "list_transform(embedding, lambda x: CAST(least(127, greatest(-128, floor(x * 100))) AS DOUBLE))"
+
+
+@query(f"SELECT vec_id AS key, round(list_dot_product({_INT8}, (SELECT {_INT8} FROM embeddings WHERE vec_id = 7)), 3) AS score FROM embeddings ORDER BY score DESC, key LIMIT 20")
+def vector_packed_int8(s):
+    from docquery.operators.vector import unpack_int8
+
+    byte = lambda x: F.right(F.concat(F.lit("0"), F.hex(F.least(F.lit(127), F.greatest(F.lit(-128), F.floor(x.cast("double") * 100))).cast("long"))), F.lit(2))
+    q = s.set("Vector")
+    q = q._with(q._df.withColumn("packed", F.unhex(F.array_join(F.transform("embedding", byte), ""))))
+    seven = [float(x) for x in q.where(lambda v: v.key == 7).select(v=unpack_int8(F.col("packed"))).single()["v"]]
+    return vector_search(q, "packed", seven, 20, kind="dotProduct", packed="int8", tie="key").select("key", score=F.round("__score", 3))
+
+
+# -- saves, in a folder of their own: the table that they leave
+
+
+def _scratch(s: Session) -> Session:
+    """A session over a copy of the suppliers in the shared folder (a local one where none is set)."""
+    import tempfile
+    import uuid
+
+    root = s.spark.conf.get("spark.checkpoint.dir", None) or s.spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="docquery-")
+    model = Model.of(EntityType("Supplier", "supplier", (*_props("key:long:s_suppkey name:string:s_name nation_key:int:s_nationkey"), Prop("balance", "double", "s_acctbal", concurrency=True)), ("key",)))
+    own = Session(s.spark, f"{root.rstrip('/')}/saves-{uuid.uuid4().hex[:12]}", model)
+    storage.replace(s.set("Supplier")._df.select(F.col("key").alias("s_suppkey"), F.col("name").alias("s_name"), F.col("nation_key").alias("s_nationkey"), F.col("balance").alias("s_acctbal")), own.path("supplier"))
+    return own
+
+
+_SAVED = "SELECT s_suppkey AS key, s_name AS name, s_nationkey AS nation_key, s_acctbal AS balance FROM supplier"
+
+
+@query(f"{_SAVED} UNION ALL SELECT -1, 'new', 3, 1.5 UNION ALL SELECT -2, 'newer', 4, 2.5")
+def save_insert(s):
+    u = UnitOfWork(own := _scratch(s))
+    u.add("Supplier", key=-1, name="new", nation_key=3, balance=1.5)
+    u.add("Supplier", key=-2, name="newest", nation_key=4, balance=2.5)
+    u.update("Supplier", -2, name="newer")
+    u.add("Supplier", key=-3, name="never", nation_key=5, balance=0.0)
+    u.remove("Supplier", -3)
+    u.save_changes()
+    return own.set("Supplier")
+
+
+@query("SELECT s_suppkey AS key, CASE s_suppkey WHEN 1 THEN 'one' ELSE s_name END AS name, CASE s_suppkey WHEN 1 THEN 7 ELSE s_nationkey END AS nation_key, s_acctbal AS balance FROM supplier")
+def save_update(s):
+    """Two edits of one entity are one change."""
+    u = UnitOfWork(own := _scratch(s))
+    u.update("Supplier", 1, name="one")
+    u.update("Supplier", 1, nation_key=7)
+    u.save_changes()
+    return own.set("Supplier")
+
+
+@query(f"{_SAVED} WHERE s_suppkey <> 2 UNION ALL SELECT 2, 'again', 1, 0.5")
+def save_delete_and_add(s):
+    u = UnitOfWork(own := _scratch(s))
+    u.remove("Supplier", 2)
+    u.add("Supplier", key=2, name="again", nation_key=1, balance=0.5)
+    u.save_changes()
+    return own.set("Supplier")
+
+
+@query(_SAVED)
+def save_conflict(s):
+    """Changes that meet a row that others changed, or a key that exists, leave the table as it is."""
+    own = _scratch(s)
+    for change in (lambda u: u.update("Supplier", 1, original={"balance": -1e9}, name="late"), lambda u: u.add("Supplier", key=2, name="twice", nation_key=1, balance=0.0)):
+        u = UnitOfWork(own)
+        u.remove("Supplier", 3)
+        u.add("Supplier", key=3, name="three", nation_key=1, balance=0.0)
+        change(u)
+        try:
+            u.save_changes()
+        except ConcurrencyError:
+            continue
+        raise AssertionError("a conflict was not found")
+    return own.set("Supplier")
+
+
+@query(f"{_SAVED} WHERE s_suppkey <> 4")
+def save_in_transaction(s):
+    u = UnitOfWork(own := _scratch(s))
+    u.begin()
+    u.remove("Supplier", 3)
+    u.save_changes()
+    u.rollback()
+    u.begin()
+    u.remove("Supplier", 4)
+    u.save_changes()
+    u.commit()
+    return own.set("Supplier")
+
+
+@query("SELECT s_suppkey AS key, s_acctbal + CASE WHEN s_nationkey < 10 THEN 1 ELSE 0 END AS balance FROM supplier WHERE s_nationkey <> 12")
+def bulk_written(s):
+    """An update and a deletion that are written and read back."""
+    own = _scratch(s)
+    bulk.execute_update(own.set("Supplier").where(lambda x: x.nation_key < 10), balance=lambda x: x.balance + 1)
+    bulk.execute_delete(own.set("Supplier").where(lambda x: x.nation_key == 12))
+    return own.set("Supplier").select("key", "balance")
+
+
+# -- headline shapes: whole entities, and a wide one
+
+
+@query("SELECT o_orderkey AS key, o_custkey AS customer_key, o_orderstatus AS status, o_totalprice AS total, o_orderdate AS date, o_orderpriority AS priority FROM orders")
+def whole_entities(s):
+    return s.set("Order")
+
+
+@query("SELECT l_orderkey AS order_key, l_partkey AS part_key, l_suppkey AS supplier_key, l_linenumber AS number, l_quantity AS quantity, l_extendedprice AS price, l_discount AS discount, l_tax AS tax, l_returnflag AS return_flag, l_linestatus AS status, l_shipdate AS shipped FROM lineitem")
+def wide_whole_entities(s):
+    return s.set("Line")

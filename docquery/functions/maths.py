@@ -97,3 +97,8 @@ def has_flags(a: Column, flags) -> Column:
 
 def convert(c: Column, kind: str) -> Column:
     return c.cast(kind)
+
+
+def to_whole(c: Column, kind: str = "long") -> Column:
+    """A number as a whole number; halves go to the even neighbour."""
+    return F.bround(c, 0).cast(kind)

@@ -66,20 +66,20 @@ def is_null_or_empty(c: Column) -> Column:
 
 
 def is_null_or_white_space(c: Column) -> Column:
-    return c.isNull() | c.rlike(r"^\s*$")
+    return c.isNull() | c.rlike(r"(?U)^\s*$")
 
 
 def trim(c: Column, chars: str | None = None) -> Column:
-    """All white space, or the characters given."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "") if chars is None else F.btrim(c, F.lit(chars))
+    """All white space of Unicode, or the characters given."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "") if chars is None else F.btrim(c, F.lit(chars))
 
 
 def trim_start(c: Column, chars: str | None = None) -> Column:
-    return F.regexp_replace(c, r"^\s+", "") if chars is None else F.ltrim(c, F.lit(chars))
+    return F.regexp_replace(c, r"(?U)^\s+", "") if chars is None else F.ltrim(c, F.lit(chars))
 
 
 def trim_end(c: Column, chars: str | None = None) -> Column:
-    return F.regexp_replace(c, r"\s+$", "") if chars is None else F.rtrim(c, F.lit(chars))
+    return F.regexp_replace(c, r"(?U)\s+$", "") if chars is None else F.rtrim(c, F.lit(chars))
 
 
 def concat(*parts) -> Column:

@@ -66,8 +66,9 @@ class Query:
         columns = []
         for s in selectors:
             c = s(row) if callable(s) else s
-            if isinstance(c, Row):  # an entity stands for its key
-                c = reduce(lambda a, b: a, [F.col(c._prefix + k) for k in c._entity.key])
+            if isinstance(c, Row):  # an entity stands for its key, all parts of it
+                parts = [F.col(c._prefix + k) for k in c._entity.key]
+                c = parts[0] if len(parts) == 1 else F.struct(*[x.alias(k) for x, k in zip(parts, c._entity.key)])
             columns.append(F.col(c) if isinstance(c, str) else c)
         query = self
         for path in used:
@@ -149,6 +150,12 @@ class Query:
             df = query.df.withColumn(name, (F.explode_outer if outer else F.explode)(c))
         return query._with(df, "select_many", order=())
 
+    def default_if_empty(self) -> Query:
+        """The rows, or one row of nulls where there is none."""
+        first = self._df.limit(1).select(F.lit(1).alias("_any"))
+        none = self._df.sparkSession.range(1).join(first, F.lit(True), "left_anti")
+        return self._with(self.df.unionByName(none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self._df.schema.fields])), "default", order=())
+
     # -- order, paging, distinct
 
     def _ordered(self, selector: Selector, descending: bool, before: tuple) -> Query:

@@ -68,13 +68,37 @@ class UnitOfWork:
     def remove(self, entity: str, key, original: dict | None = None) -> None:
         self._changes.append(_Change("remove", entity, key if isinstance(key, tuple) else (key,), {}, original or {}))
 
+    def _tracked(self) -> list[_Change]:
+        """One change for each entity, or a removal and then an addition; the first original values count."""
+        out: dict[tuple, list[_Change]] = {}
+        for c in self._changes:
+            own = out.setdefault((self.session.model.root(c.entity).name, c.key), [])
+            last = own[-1] if own else None
+            if last is None or (last.kind == "remove" and c.kind == "add"):
+                own.append(_Change(c.kind, c.entity, c.key, dict(c.values), dict(c.original)))
+            elif c.kind == "add":
+                raise ConcurrencyError("a key was added twice")
+            elif last.kind == "remove":
+                raise ConcurrencyError("an entity that was removed cannot change")
+            elif c.kind == "update":
+                last.values |= c.values
+                last.original = c.original | last.original
+            elif last.kind == "add":
+                own.pop()
+            else:
+                own[-1] = _Change("remove", last.entity, last.key, {}, c.original | last.original)
+        return [c for own in out.values() for c in own]
+
     # -- saving
 
     def save_changes(self) -> int:
-        """Saves what was tracked; the number of entities."""
+        """Saves what was tracked; the number of changes, those of one entity being one.
+
+        Tables are staged before any is swapped in, except with ``Never``, where each is written on its own.
+        """
         if self.behavior == "Never" and self._staged is not None:
             raise TransactionError("saves take no part in transactions")
-        changes, by = self._changes, {}
+        changes, by = self._tracked(), {}
         for c in changes:
             by.setdefault(self.session.model.collection(c.entity), []).append(c)
         own = self._staged is None
@@ -84,7 +108,10 @@ class UnitOfWork:
             for collection, part in by.items():
                 path = self.session.path(collection)
                 new = self._apply(part, staged.get(path))
-                made.append((path, storage.stage(new, path)))
+                if self.behavior == "Never":
+                    storage.replace(new, path)
+                else:
+                    made.append((path, storage.stage(new, path)))
         except BaseException:
             for _, place in made:
                 storage.delete(self.session.spark, place)
@@ -121,7 +148,7 @@ class UnitOfWork:
             same = reduce(lambda a, b: a & b, [~F.col(f"h_{p.name}") | F.col(own.element(p.name)).eqNullSafe(F.col(f"o_{p.name}")) for p in tokens], F.lit(True))
             hit = F.col("_at").isNotNull() & same
             found = rows.where(hit).select("_at").distinct().count()
-            if found != len({c.key for c in touched}) and found != len(touched):
+            if found != len(touched):
                 raise ConcurrencyError(f"{len(touched)} entities were expected, {found} found as they were read")
             for i, c in enumerate(touched):
                 mine = is_true(hit & (F.col("_at") == i))
@@ -140,11 +167,8 @@ class UnitOfWork:
         added = [c for c in changes if c.kind == "add"]
         if added:
             keys = [c.key for c in added]
-            gone = {c.key for c in touched if c.kind == "remove"}
-            if len(set(keys)) < len(keys):
-                raise ConcurrencyError("a key was added twice")
             there = keyed(rows, F.broadcast(session.spark.createDataFrame(keys, key_type).select(*stored_key)), "left_semi").count()
-            if there and not set(keys) & gone:
+            if there:
                 raise ConcurrencyError(f"{there} of the added keys exist")
             rows = rows.unionByName(session.rows(root, [(session.model[c.entity], c.values) for c in added]))
         return rows

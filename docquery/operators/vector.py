@@ -44,6 +44,25 @@ def packed_euclidean(a: Column, bits: bytes) -> Column:
     return F.sqrt(sum(parts[1:], parts[0]).cast("double"))
 
 
+def unpack_int8(c: Column) -> Column:
+    """The numbers of a packed vector of signed bytes."""
+    byte = lambda i: F.conv(F.hex(F.substring(c, i, F.lit(1))), 16, 10).cast("int")
+    return F.transform(F.sequence(F.lit(1), F.octet_length(c)), lambda i: F.when(byte(i) > 127, byte(i) - 256).otherwise(byte(i)).cast("double"))
+
+
+def unpack_float32(c: Column) -> Column:
+    """The numbers of a packed vector of 32-bit floats, the low byte first; infinite ones and those that are none are null."""
+
+    def number(i: Column) -> Column:
+        part = lambda k: F.conv(F.hex(F.substring(c, 4 * i + k, F.lit(1))), 16, 10).cast("long")
+        bits = part(1) + 256 * part(2) + 65536 * part(3) + 16777216 * part(4)
+        exponent, rest = F.shiftright(bits, 23).bitwiseAND(255), bits.bitwiseAND((1 << 23) - 1).cast("double") / (1 << 23)
+        size = F.when(exponent == 0, rest * 2.0**-126).when(exponent < 255, (1 + rest) * F.pow(F.lit(2.0), exponent - 127))
+        return F.when(bits >= 1 << 31, -size).otherwise(size)
+
+    return F.transform(F.sequence(F.lit(0), (F.octet_length(c) / 4).cast("int") - 1), number)
+
+
 def similarity(column: Column, query, kind: str) -> Column:
     if isinstance(query, (bytes, bytearray)):
         if kind != "euclidean":
@@ -66,12 +85,13 @@ def _index(query: Query, path: str, name: str | None):
 
 
 def vector_search(query: Query, path: str, vector, limit: int, pre_filter: Selector | None = None, index: str | None = None,
-                  kind: str | None = None, exact: bool = False, candidates: int | None = None, tie: str | None = None) -> Query:
+                  kind: str | None = None, exact: bool = False, candidates: int | None = None, tie: str | None = None, packed: str | None = None) -> Query:
     """The ``limit`` rows nearest to ``vector``, best first, with their score as ``__score``.
 
     ``pre_filter`` holds before the best are taken; a ``where`` on the result holds after, and may leave fewer.
     ``exact`` and ``candidates`` exclude each other; as every row is scored, ``candidates`` changes no result.
-    ``kind`` is the declared index's similarity unless it is given.
+    ``kind`` is the declared index's similarity unless it is given.  ``packed`` says that ``path`` holds binary vectors
+    of ``int8`` or ``float32``.
     """
     if exact and candidates is not None:
         raise QueryError("an exact search has no number of candidates")
@@ -86,7 +106,7 @@ def vector_search(query: Query, path: str, vector, limit: int, pre_filter: Selec
             raise QueryError(f"{path} has {declared.dimensions} dimensions, the query {len(vector)}")
     rows = query.where(pre_filter) if pre_filter is not None else query
     keys = [tie] if tie else list(query.entity.key) if query.entity is not None else []
-    scored = rows._df.where(F.col(path).isNotNull()).withColumn(SCORE, similarity(F.col(path), vector, kind)).where(F.col(SCORE).isNotNull())
+    scored = rows._df.where(F.col(path).isNotNull()).withColumn(SCORE, similarity({None: lambda c: c, "int8": unpack_int8, "float32": unpack_float32}[packed](F.col(path)), vector, kind)).where(F.col(SCORE).isNotNull())
     order = ((F.col(SCORE), True), *[(F.col(k), False) for k in keys])
     found = scored.orderBy(F.col(SCORE).desc(), *[F.col(k).asc() for k in keys]).limit(limit)
     return query._with(found, "vector", order=order)

@@ -71,6 +71,11 @@ class Session:
         """The entity with this key, or None."""
         return self.set(name).find(*key).first_or_default()
 
+    def reload(self, name: str, *key):
+        """The entity as it is stored now, whatever was read of its collection before; None where it is gone."""
+        self.spark.catalog.refreshByPath(self.path(self.model.collection(name)))
+        return self.find(name, *key)
+
     def view(self, name: str) -> None:
         """The entity set as a temporary view for SQL."""
         self.set(name).df.createOrReplaceTempView(name)

@@ -19,7 +19,7 @@ def rows(frame: pd.DataFrame) -> list[tuple]:
             return "null"
         if isinstance(v, bool) or not hasattr(v, "__float__"):
             return str(v)
-        return f"{float(v):.6g}"
+        return f"{float(v) + 0.0:.6g}"  # so that -0 and 0, which are equal, are one text
 
     return sorted(tuple(plain(v) for v in r) for r in frame.astype(object).itertuples(index=False))
 

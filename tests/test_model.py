@@ -113,6 +113,48 @@ def test_unit_of_work(session):
     assert w.save_changes() == 1 and session.find("Owner", 2) is None
 
 
+def test_repeated_changes_of_one_entity(session):
+    u = UnitOfWork(session)
+    u.update("Owner", 1, original={"version": 1}, name="X")
+    u.update("Owner", 1, age=9)
+    assert u.save_changes() == 1
+    assert [(r.id, r.name, r.age, r.version) for r in session.set("Owner").to_list()] == [(1, "X", 9, 2)]
+    u.update("Owner", 1, name="gone")
+    u.remove("Owner", 1)
+    u.add("Owner", id=1, name="new", age=1)
+    u.update("Owner", 1, name="newer")
+    u.add("Owner", id=3, name="c", age=3)
+    u.remove("Owner", 3)
+    assert u.save_changes() == 2
+    assert [(r.id, r.name, r.age) for r in session.set("Owner").to_list()] == [(1, "newer", 1)]
+    assert session.reload("Owner", 1).name == "newer" and session.reload("Owner", 3) is None
+
+
+def test_conflicts_of_added_keys(session):
+    """A key that is added again excuses no other."""
+    session_rows = session.set("Line", ignore_filters=True)
+    u = UnitOfWork(session)
+    u.remove("Line", (1, 1))
+    u.add("Line", order=1, number=1, qty=7)
+    u.add("Line", order=1, number=2, qty=8)
+    with pytest.raises(ConcurrencyError):
+        u.save_changes()
+    assert session_rows.count() == 2
+    for bad in (lambda w: (w.remove("Line", (1, 1)), w.update("Line", (1, 1), qty=1)), lambda w: (w.add("Line", order=9, number=9, qty=1), w.add("Line", order=9, number=9, qty=2))):
+        w = UnitOfWork(session)
+        bad(w)
+        with pytest.raises(ConcurrencyError):
+            w.save_changes()
+
+
+def test_composite_key_stands_for_the_entity(session):
+    u = UnitOfWork(session)
+    u.add("Line", order=1, number=0, qty=1)
+    u.save_changes()
+    lines = session.set("Line", ignore_filters=True)
+    assert [(r.order, r.number) for r in lines.order_by_descending(lambda x: x).to_list()] == [(1, 2), (1, 1), (1, 0)]
+
+
 def test_transactions(session):
     u = UnitOfWork(session)
     u.begin()

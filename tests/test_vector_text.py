@@ -61,3 +61,15 @@ def test_definition():
     assert index.definition()["mappings"]["fields"] == {"title": {"type": "string", "analyzer": "words"}, "year": {"type": "number"}}
     with pytest.raises(ValueError):
         index.map("x", "odd")
+
+
+def test_packed_numbers(spark):
+    import struct
+
+    from docquery.operators.vector import unpack_float32, unpack_int8
+
+    values = [0.0, 1.0, -1.5, 3.1415927410125732, 1e-40, -2.5e30, 1.17549435e-38, float("inf"), float("nan")]
+    values = [struct.unpack("<f", struct.pack("<f", v))[0] for v in values]
+    df = spark.createDataFrame([(struct.pack(f"<{len(values)}f", *values), struct.pack("3b", -128, 127, -1))], "f binary, b binary")
+    r = df.select(unpack_float32(F.col("f")).alias("f"), unpack_int8(F.col("b")).alias("b")).first()
+    assert r.b == [-128.0, 127.0, -1.0] and r.f[-2:] == [None, None] and r.f[:-2] == values[:-2]
