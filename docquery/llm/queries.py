@@ -124,7 +124,8 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
+    n_spans = (F.col("n_email") + F.col("n_ip") + F.col("n_card") + F.col("n_phone") + F.col("n_context")).alias("n_spans")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans", "n_context", n_spans)
 
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
