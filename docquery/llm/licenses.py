@@ -3,7 +3,8 @@ r"""License scan: fuzzy search for short notices.
 Text is lower-cased (A-Z), cut into words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` and joined by single spaces.  A notice
 that may differ by k edits is split into k + 1 pieces: by the pigeonhole principle one piece stands in the text
 unchanged.  Exact search for the pieces gives candidates; in the window around each the ``regex`` library's
-bounded-error matching verifies the edits and gives the span.
+bounded-error matching verifies the edits and gives the span, which begins and ends at word borders: where a match does
+not, the whole words about it must match within the edits.
 
 ``BASE`` phrases are looked for word by word without errors, and every place counts.  Null or empty texts have no
 words, no labels and score 0.  Repeated rows are scanned row by row; an empty table gives an empty result; further
@@ -12,6 +13,9 @@ columns pass through, and those named like a result column are replaced.
 
 from __future__ import annotations
 
+import bisect
+import functools
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -39,6 +43,17 @@ NOTICES = (
     ("mozilla public license", "mpl"),
     ("redistribution and use in source and binary forms", "bsd"),
     ("all rights reserved", "all-rights-reserved"),
+    ("the software is provided as is without warranty of any kind", "mit"),
+    ("neither the name of the copyright holder nor the names of its contributors", "bsd"),
+    ("permission to use copy modify and or distribute this software for any purpose", "isc"),
+    ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("dedicated to the public domain", "public-domain"),
+    ("eclipse public license", "epl"),
+    ("european union public licence", "eupl"),
+    ("boost software license", "bsl"),
+    ("artistic license", "artistic"),
+    ("attribution sharealike", "cc-by-sa"),
+    ("attribution noderivatives", "cc-by-nd"),
 )
 #: One edit is allowed for so many characters of a notice.
 CHARS_PER_EDIT = 10
@@ -85,6 +100,13 @@ class Notice:
                 yield m
                 parts += [(a, m.start()), (m.end(), b)]
 
+    def _bordered(self, text: str, start: int, end: int) -> tuple[int, int, int] | None:
+        """The least edits among the spans of whole words about a match: each side goes out or in to a word border."""
+        starts = {text.rfind(" ", 0, start) + 1, start if text[start : start + 1] != " " and (start == 0 or text[start - 1] == " ") else text.find(" ", start) + 1 or end}
+        ends = {text.find(" ", end) if text.find(" ", end) >= 0 else len(text), end if end == len(text) or text[end] == " " else text.rfind(" ", 0, end)}
+        found = [(sum(m.fuzzy_counts), a - b, a, b) for a in starts for b in ends if a < b and (m := self.pattern.fullmatch(text, a, b))]
+        return (found := min(found))[2:] + found[:1] if found else None
+
     def matches(self, text: str) -> Iterator[tuple[int, int, int]]:
         """(start, end, edits) of verified matches that begin and end at word borders."""
         for a, b in self.windows(text):
@@ -92,8 +114,9 @@ class Notice:
                 start, end = m.span()
                 start += len(m.group()) - len(m.group().lstrip(" "))
                 end -= len(m.group()) - len(m.group().rstrip(" "))
-                if end > start and (start == 0 or text[start - 1] == " " or sum(m.fuzzy_counts)) and sum(m.fuzzy_counts) <= self.edits:
-                    yield start, end, sum(m.fuzzy_counts)
+                whole = self._bordered(text, start, end) if end > start else None
+                if whole and whole[2] <= self.edits:
+                    yield whole
 
 
 def compiled(notices=NOTICES, chars_per_edit: int = CHARS_PER_EDIT) -> list[Notice]:
@@ -120,21 +143,22 @@ def scan_text(raw: bytes, notices: list[Notice], seeds: list[bytes], base=BASE)
     """One text's row of ``RESULT``."""
     words = raw.translate(_WORDS).split()
     joined = b" ".join(words)
-    places, base_labels = [], set()
-    framed = b" %b " % joined
+    places, base_labels, framed = [], set(), b" %b " % joined
+    begins = functools.cache(lambda: list(itertools.accumulate((len(w) + 1 for w in words), initial=1)))
     for phrase, label in base:
         needle = b" %b " % phrase.encode()
         at = framed.find(needle)
         while at >= 0:
-            places.append(framed.count(b" ", 0, at))
+            places.append(bisect.bisect_left(begins(), at + 1))
             base_labels.add(label)
             at = framed.find(needle, at + 1)
     spans = []
     if any(s in joined for s in seeds):
         text = joined.decode()
+        firsts = list(itertools.accumulate((len(w) + 1 for w in text.split(" ")), initial=0)) if words else [0]
         for notice in notices:
             for start, end, edits in notice.matches(text):
-                spans.append((notice.label, text.count(" ", 0, start), text.count(" ", 0, end), edits, 1 - edits / len(notice.phrase)))
+                spans.append((notice.label, bisect.bisect_right(firsts, start) - 1, bisect.bisect_left(firsts, end) - 1, edits, 1 - edits / len(notice.phrase)))
     labels = base_labels | {s[0] for s in spans}
     score = 1.0 if places else max((s[4] for s in spans), default=0.0)
     found = sorted({s[:4] for s in spans}, key=lambda s: (s[1], s[2], s[0], s[3]))
