@@ -9,8 +9,9 @@ null marks words but is in no list of items; repeated documents are judged row b
 by id.  Empty tables give empty results, or documents without hits.  Further input columns pass through; those named
 like a result column are replaced.
 
-The benchmark is read in blocks of at most ``BLOCK_CHARS`` characters, so what is broadcast at once is bounded; the
-documents pass through one scan for each block, and each scan adds its hits to those before.  There is no exchange.
+The benchmark is read in blocks of about ``BLOCK_CHARS`` characters, whole items, so that no broadcast is large; the
+documents pass through one scan for each block, and each scan adds its hits to those before.  There is no exchange, so a
+task holds all blocks: 16 bytes for each window, and the words themselves, about four times the benchmark's text.
 """
 
 from __future__ import annotations
@@ -25,31 +26,49 @@ from pyspark.sql import types as T
 
 from docquery.llm import bytewords as bw
 
-#: Characters of benchmark text broadcast at once: about 16 bytes of hash table and the words themselves for each.
+#: Characters of benchmark text in one broadcast.
 BLOCK_CHARS = 4_000_000
 _WIDE = 22
 
 
 class _Grams:
-    """Windows of one block: sorted hashes for the scan, and the words themselves to verify hits."""
+    """Windows of one block: sorted hashes with the place of each in the items, and the items' words to verify hits."""
 
     def __init__(self, items: list[tuple[object, str | None]], n: int):
-        exact: dict[bytes, set] = {}
-        hashes: dict[int, set[int]] = {}
+        self.items, self.words, self.starts, self.known = [], [], [], {}
+        found: dict[int, list[tuple]] = {}
         for item, text in items:
             data, offsets = bw.buffers(pa.array([text or ""], pa.string()))
             starts, ends, _ = bw.word_bounds(data, offsets, bw.ALNUM)
             if not len(starts):
                 continue
             size = min(n, len(starts))
-            found = bw.window_hashes(bw.word_hashes(data, starts, ends), size)
+            hashes = bw.window_hashes(bw.word_hashes(data, starts, ends), size)
+            found.setdefault(size, []).append((hashes, np.full(len(hashes), len(self.items), np.int32), np.arange(len(hashes), dtype=np.int32)))
             words = [bytes(bw.LOWER[data[a:b]]) for a, b in zip(starts, ends)]
-            for k in range(len(words) - size + 1):
-                exact.setdefault(b" ".join(words[k : k + size]), set()).add(item)
-            hashes.setdefault(size, set()).update(found.tolist())
-        self.exact = {k: frozenset(v) for k, v in exact.items()}
-        self.hashes = {size: np.array(sorted(v), np.uint64) for size, v in hashes.items()}
-        self.marks = {size: self._mark(v) for size, v in self.hashes.items()}
+            self.items.append(item)
+            self.words.append(b" ".join(words) + b" ")
+            self.starts.append(np.cumsum([0, *[len(w) + 1 for w in words]]).astype(np.int32))
+        self.hashes, self.places, self.marks = {}, {}, {}
+        for size, parts in found.items():
+            hashes, owner, at = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(hashes, kind="stable")
+            self.hashes[size], self.places[size] = hashes[order], (owner[order], at[order])
+            self.marks[size] = self._mark(hashes)
+
+    def same(self, size: int, h: np.uint64, key: bytes) -> list:
+        """Items that hold a window of these words, each once."""
+        if key not in self.known:
+            if len(self.known) > 100_000:
+                self.known.clear()
+            a, b = (np.searchsorted(self.hashes[size], h, side) for side in ("left", "right"))
+            out = {}
+            for owner, at in zip(*(x[a:b].tolist() for x in self.places[size])):
+                starts = self.starts[owner]
+                if self.words[owner][starts[at] : starts[at + size] - 1] == key:
+                    out[self.items[owner]] = None
+            self.known[key] = list(out)
+        return self.known[key]
 
     @staticmethod
     def _mark(hashes: np.ndarray) -> np.ndarray:
@@ -71,8 +90,8 @@ class _Grams:
             inside = maybe + size <= bounds[docs + 1]
             for k, doc in zip(maybe[inside].tolist(), docs[inside].tolist()):
                 key = b" ".join([bytes(bw.LOWER[data[a:b]]) for a, b in zip(starts[k : k + size], ends[k : k + size])])
-                if key in self.exact:
-                    out.append((doc, k, size, self.exact[key]))
+                if items := self.same(size, all_windows[k], key):
+                    out.append((doc, k, size, items))
         return starts, ends, bounds, out
 
 
