@@ -39,6 +39,8 @@ FIELDS = {
 }
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _DATE = "20200101000000"
+#: Bytes that a gzip member is read by.
+_PIECE = 1 << 14
 
 
 def member(raw: bytes) -> bytes:
@@ -60,7 +62,7 @@ def members(content: bytes) -> Iterator[bytes]:
     while at < len(view):
         d, out = zlib.decompressobj(31), []
         while not d.eof:
-            piece = view[at : at + (1 << 20)]
+            piece = view[at : at + _PIECE]  # what is left of a piece is copied for each member
             if not piece:
                 raise ValueError("the last gzip member is cut off")
             out.append(d.decompress(piece))
@@ -138,6 +140,8 @@ def parse_arc(content: bytes) -> Iterator[dict]:
                 version = int(block.split(b" ", 1)[0])
                 names = FIELDS[version].split(" ")
                 continue
+            if not names:
+                raise ValueError("a document stands before the version block")
             if len(values) != len(names):  # a space in the first field, which some crawlers left there
                 values = [" ".join(values[: len(values) - len(names) + 1]), *values[len(values) - len(names) + 1 :]]
             yield dict(zip(names, values)) | {"block": block}
