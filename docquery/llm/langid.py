@@ -2,7 +2,8 @@ r"""Language identification by cross-parsing entropy.
 
 For each language a suffix automaton is built over a bounded sample of labelled text.  A text is parsed greedily
 against each automaton: a phrase is the longest match from where the last one ended.  The language that needs the
-fewest phrases, normalised by the text's length, wins.
+fewest normalised phrases wins.  Normalised is by the sample, as a longer one has longer matches: c phrases of a text of
+n bytes, each named by its place among m bytes of a sample, make ``c log2(m) / n`` bits a byte, the cross-parsing entropy.
 
 Texts are lower-cased (A-Z), as UTF-8 bytes; runs of characters that are not letters count as one space.  They are
 parsed in blocks of ``BLOCK`` bytes, all bytes of all blocks, so that many blocks advance in step in numpy.
@@ -87,6 +88,7 @@ class Parser:
 
     def __init__(self, samples: dict[str, bytes]):
         self.languages = sorted(samples)
+        self.bits = np.log2([max(len(samples[x]), 2) for x in self.languages])
         used = sorted({b for s in samples.values() for b in s})
         self.codes = np.zeros(256, np.uint8)
         self.codes[used] = np.arange(1, len(used) + 1)
@@ -194,7 +196,7 @@ def _predict(sample: _Sample, text: str, kept: list[str], table_bytes: int):
             _blocks[key] = language_blocks(sample.value, table_bytes)
         blocks = _blocks[key]
         for chunk in _chunks(batches, text, CHUNK_BYTES if len(blocks) > 1 else 0):
-            least = [np.full(b.num_rows, np.iinfo(np.int64).max) for b in chunk]
+            least = [np.full(b.num_rows, np.inf) for b in chunk]
             shares, has = [np.zeros(b.num_rows) for b in chunk], [np.zeros(b.num_rows, bool) for b in chunk]
             langs = [["und"] * b.num_rows for b in chunk]
             for k, block in enumerate(blocks):
@@ -203,17 +205,17 @@ def _predict(sample: _Sample, text: str, kept: list[str], table_bytes: int):
                     data, offsets = bw.buffers(batch.column(text))
                     for i, j, part, own in bw.runs(data, offsets, 1 << 21):
                         clean, at = spaced(part, own)
-                        counts = parser.phrases(clean, at)
+                        counts = parser.phrases(clean, at) * parser.bits / np.maximum(np.diff(at), 1)[:, None]
                         if k == 0:
                             has[n][i:j] = _lettered(part, own, at)
-                        shares[n][i:j] += (1.0 / np.maximum(counts, 1)).sum(axis=1)
+                        shares[n][i:j] += (1.0 / np.maximum(counts, 1e-9)).sum(axis=1)
                         best = counts.argmin(axis=1)
                         fewest = counts[np.arange(j - i), best]
                         for d in np.flatnonzero(has[n][i:j] & (fewest < least[n][i:j])):
                             langs[n][i + d] = parser.languages[best[d]]
                         least[n][i:j] = np.minimum(least[n][i:j], fewest)
             for n, batch in enumerate(chunk):
-                scores = np.where(has[n], 1.0 / np.maximum(least[n], 1) / np.where(has[n], shares[n], 1.0), 0.0)
+                scores = np.where(has[n], 1.0 / np.maximum(least[n], 1e-9) / np.where(has[n], shares[n], 1.0), 0.0)
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(langs[n], pa.string()), pa.array(scores)], [*kept, *RESULT.names])
 
     return run
@@ -246,7 +248,7 @@ def language_samples(docs: DataFrame, text: str = "text", lang: str = "lang", ro
 
 
 def identify(docs: DataFrame, samples: dict[str, bytes], text: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """``docs`` with lang_pred and score: the winner's share of the inverse phrase counts."""
+    """``docs`` with lang_pred and score: the winner's share of the inverse entropies."""
     docs = docs.drop(*(c for c in RESULT.names if c in docs.columns))
     sample = _Sample(docs.sparkSession.sparkContext.broadcast(samples), f"{hash(tuple(sorted(samples.items())))}")
     return docs.mapInArrow(_predict(sample, text, docs.columns, table_bytes), T.StructType([*docs.schema.fields, *RESULT.fields]))
