@@ -5,15 +5,16 @@ pair of the lowest rank first and of equal ranks the leftmost, until no pair has
 
 * ``encode_words`` folds the ranked merges with Spark higher-order functions over the byte arrays of distinct words.
   The rank map is a literal: an array of small maps by hash, since Spark searches a map from end to end.
-* ``encode`` counts words in every task, has the frequent ones (``CACHE_WORDS`` at most, a proven bound for the
-  broadcast) encoded by ``encode_words``, and looks up each word of each text.  Frequent are words of at most
-  ``LONG_WORD // 4`` = 16 characters that some task counted ``FREQUENT`` times.  Any other word goes through ``fold``,
-  a heap in Python with the same merges, where it stands, once for each task, so no row is shuffled and nothing is left out.
+* ``encode`` counts the distinct words of the corpus and has ``encode_words`` fold them, each once: all that stand twice
+  or more, or, where those are more than ``CACHE_WORDS``, all that stand so often that they are not.  The table of
+  their ids is packed (a hash, an end and the ids: about 24 bytes a word), so it is bounded and broadcast, and each word of
+  each text is looked up in it; that the ids spell the word is checked.  A word that stands once goes through ``fold``, a
+  heap in Python with the same merges, where it stands, as its ids are needed there only.  No text is shuffled.
 * ``decode`` concatenates the binary pieces of the ids.
 
 A null text is an empty one; an empty text has no ids.  Repeated rows are encoded row by row; an empty table gives an
 empty result; further columns pass through, and one named like the result is replaced.  Words over ``LONG_WORD``
-bytes go through a heap, as a fold over arrays takes steps in the square of a word's length.
+bytes go through the heap, as a fold over arrays takes steps in the square of a word's length.
 """
 
 from __future__ import annotations
@@ -32,14 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquery.llm import bytewords as bw
-from docquery.llm.shared import parts
-
-#: Words in the broadcast table; words a task counts or remembers before it starts anew; occurrences in a task that
-#: make a word worth the table.
-CACHE_WORDS, TASK_WORDS, FREQUENT = 1 << 17, 1 << 19, 4
-LONG_WORD = 64
-#: Tasks that encode the frequent words: each unpacks the literal rank map anew.
-ENCODE_TASKS = 12
+from docquery.llm.shared import drop, parts, stored
+
+#: Words in the broadcast table; words a task counts or remembers before it starts anew; bytes of a word that is folded.
+CACHE_WORDS, TASK_WORDS, LONG_WORD = 1 << 21, 1 << 19, 256
+#: Tasks that fold words (each unpacks the literal rank map anew) at least, and words of a task, about.
+ENCODE_TASKS, ENCODE_WORDS = 12, 1 << 16
 _BUCKETS = 1 << 13
 _NONE = 2147483647
 
@@ -129,8 +128,8 @@ def _count_words(pattern: str, text: str):
         words, counts = regex.compile(pattern), Counter()
 
         def out():
-            often = [(w, n) for w, n in counts.items() if n >= FREQUENT and len(w) <= LONG_WORD // 4]
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in often], pa.string()), pa.array([n for _, n in often], pa.int64())], ["word", "n"])
+            short = {w: n for w, n in counts.items() if len(w) <= LONG_WORD // 4 or len(w.encode()) <= LONG_WORD}
+            return pa.RecordBatch.from_arrays([pa.array(short, pa.string()), pa.array(short.values(), pa.int64())], ["word", "n"])
 
         for batch in batches:
             data, offsets = bw.buffers(batch.column(text))
@@ -144,23 +143,71 @@ def _count_words(pattern: str, text: str):
     return run
 
 
-def frequent_words(docs: DataFrame, pattern: str, text: str = "text", limit: int = CACHE_WORDS) -> DataFrame:
-    """(word, n) of at most ``limit`` words, the most frequent of those that some task saw ``FREQUENT`` times."""
+def repeated_words(docs: DataFrame, pattern: str, text: str = "text", limit: int = CACHE_WORDS) -> DataFrame:
+    """(word, n) of the words that stand twice or more: all, or those above the least count that leaves at most ``limit``."""
     counted = docs.select(text).mapInArrow(_count_words(pattern, text), "word string, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(limit)
+    words = stored(counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "bpe-words")
+    left, least = 0, 1
+    # words by the power of two of their count: 63 rows at most
+    for r in words.groupBy(F.expr("length(bin(n)) - 1").alias("power")).count().orderBy(F.desc("power")).collect():
+        left += r["count"]
+        if left > limit:
+            least = 2 << r["power"]
+            break
+    out = words.where(F.col("n") >= least)
+    out._stored_at = words._stored_at
+    return out
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    data, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum([0, *map(len, words)])
+    return bw.word_hashes(data, ends[:-1], ends[1:], lower=False)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The table's part of one task: hashes of words, numbers of their ids, and the ids."""
+    for batch in batches:
+        ids = batch.column("ids")
+        sizes, flat = np.diff(ids.offsets.to_numpy()), ids.flatten().to_numpy()
+        hashes = _hashes([w.encode() for w in batch.column("word").to_pylist()])
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (hashes, sizes.astype(np.int32), flat.astype(np.int32))], ["hashes", "sizes", "ids"])
+
+
+class _Table:
+    """Ids of the folded words, by the hash of the word."""
+
+    def __init__(self, parts: list[tuple[bytes, bytes, bytes]]):
+        hashes, sizes, ids = (np.concatenate([np.zeros(0, t), *[np.frombuffer(p[k], t) for p in parts]]) for k, t in enumerate((np.uint64, np.int32, np.int32)))
+        starts = np.cumsum(sizes) - sizes
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.starts, self.sizes, self.ids = hashes[order], starts[order].astype(np.int64), sizes[order], ids
+
+    def look_up(self, words: list[str]) -> Iterator[tuple[str, np.ndarray]]:
+        """The words that are in the table, or share a hash with one that is."""
+        found = _hashes([w.encode() for w in words])
+        at = np.minimum(np.searchsorted(self.hashes, found), max(len(self.hashes) - 1, 0))
+        for k in np.flatnonzero(self.hashes[at] == found) if len(self.hashes) else ():
+            start = self.starts[at[k]]
+            yield words[k], self.ids[start : start + self.sizes[at[k]]]
 
 
 class _Ids(dict):
-    """Packed ids by word; a word that is missing goes through the fold, and is remembered for this task."""
+    """Packed ids by word, for one task: from the table, or for a word that it lacks from the heap."""
 
-    def __init__(self, known: dict[str, bytes], ranks: dict[bytes, int]):
-        super().__init__(known)
-        self.known, self.ranks = known, ranks
+    def __init__(self, table: _Table, ranks: dict[bytes, int]):
+        super().__init__()
+        self.table, self.ranks = table, ranks
+        self.pieces = {r: p for p, r in ranks.items()}
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) > len(self.known) + TASK_WORDS:
+    def learn(self, words: set[str]) -> None:
+        """The table's ids of words that are new to this task."""
+        if len(self) > TASK_WORDS:
             self.clear()
-            self.update(self.known)
+        for word, ids in self.table.look_up([w for w in words if w not in self]):
+            if b"".join(map(self.pieces.__getitem__, ids.tolist())) == word.encode():
+                self[word] = ids.tobytes()
+
+    def __missing__(self, word: str) -> bytes:
         out = self[word] = np.array(fold(word.encode(), self.ranks), np.int32).tobytes()
         return out
 
@@ -171,7 +218,11 @@ def _encode(broadcast, pattern: str, text: str, kept: list[str]):
         ids = _Ids(*broadcast.value)
         for batch in batches:
             data, offsets = bw.buffers(batch.column(text))
-            found = [b"".join(map(ids.__getitem__, words.findall(data[a:b].tobytes().decode()))) for a, b in zip(offsets, offsets[1:])]
+            found = []
+            for i, j, part, own in bw.runs(data, offsets):
+                split = [words.findall(part[a:b].tobytes().decode()) for a, b in zip(own, own[1:])]
+                ids.learn({w for x in split for w in x})
+                found += [b"".join(map(ids.__getitem__, x)) for x in split]
             ends = np.zeros(len(found) + 1, np.int32)
             np.cumsum([len(x) // 4 for x in found], out=ends[1:])
             flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
@@ -180,13 +231,18 @@ def _encode(broadcast, pattern: str, text: str, kept: list[str]):
     return run
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", with_text: bool = False) -> DataFrame:
-    """``docs`` without its text (unless ``with_text``) with ids: array<int>."""
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", with_text: bool = False, limit: int = CACHE_WORDS) -> DataFrame:
+    """``docs`` without its text (unless ``with_text``) with ids: array<int>; ``limit`` words at most are broadcast."""
     docs = docs.drop("ids")
     kept = [c for c in docs.columns if with_text or c != text]
-    known = encode_words(frequent_words(docs, pattern, text).repartition(min(parts(docs.sparkSession), ENCODE_TASKS), "word"), ranks)
-    table = {w: np.array(i, np.int32).tobytes() for w, i in known.select("word", "ids").toLocalIterator()}
+    words = repeated_words(docs, pattern, text, limit)
+    tasks = max(min(parts(docs.sparkSession), ENCODE_TASKS), words.count() // ENCODE_WORDS)
+    folded = encode_words(words.select("word").repartition(tasks, "word"), ranks)
+    packed = folded.mapInArrow(_pack, "hashes binary, sizes binary, ids binary")
+    table = _Table([tuple(map(bytes, r)) for r in packed.toLocalIterator()])  # ``limit`` words at most
+    drop(words)
     broadcast = docs.sparkSession.sparkContext.broadcast((table, ranks))
+    del table
     fields = [f for f in docs.schema.fields if f.name in kept]
     return docs.mapInArrow(_encode(broadcast, pattern, text, kept), T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False))]))
 

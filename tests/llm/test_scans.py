@@ -154,6 +154,18 @@ class TestLicenses:
                 for (a, b, own), (start, end, edits) in zip(parts, got):
                     assert max(a, start) < min(b, end) and edits <= distance(own, notice.phrase) and distance(text[start:end], notice.phrase) <= notice.edits
 
+    def test_word_borders(self, spark):
+        for text in ("all rights reservedly so", "the gnu general public licenseeship", "xunder the mit licensing", "a dedicatedly to the public domains x"):
+            assert self.one(spark, text).labels in ("", "public-domain") and not self.one(spark, text).labels.startswith(("all", "gpl", "mit")), text
+        r = self.one(spark, "é all rights reserved, under the mit licenses é")
+        assert [(x.label, x.first_word, x.last_word, x.edits) for x in r.notices] == [("all-rights-reserved", 1, 3, 0), ("mit", 4, 7, 1)]
+        assert r.n_base == 0 and r.labels == "all-rights-reserved,mit"
+
+    def test_base_places_in_a_long_text(self):
+        words = ("x " * 5_000 + "under the mit license é " * 3_000).split()
+        row = licenses.scan_text(" ".join(words).encode(), [], [])
+        assert row[:4] == (len(words), 3_000, 5_000, len(words) - 5)
+
     def test_order_of_adjacent_notices(self, spark):
         r = self.one(spark, "under the mti license under the mit license")
         assert [(x.first_word, x.last_word, x.edits) for x in r.notices if x.label == "mit"] == [(0, 3, 2), (4, 7, 0)]
@@ -200,9 +212,31 @@ class TestPii:
         one = {t: s for t, s in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), rounds=1, with_text=True).select("text", "spans").collect()}
         assert one[f"under ledger key {unseen} it says"] == "" and one["the customer id AB-12345 was seen"] != ""
 
+    def test_secrets_and_recall(self, spark):
+        """Secret-like tokens seed the words about them, and these find what looks otherwise; a word is never cut."""
+        rng = random.Random(4)
+        words = lambda n: " ".join("".join(rng.choice("abcdeilnorst") for _ in range(rng.randint(2, 9))) for _ in range(n))
+        secrets = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(30)] + [f"k{rng.randrange(10**7):07}-{k}" for k in range(10)]
+        planted = [f'{words(40)} token = "{x}" {words(40)}' for x in secrets]
+        clean = [f"{words(60)} {rng.randrange(10**9)} {words(60)}" for _ in range(60)] + ["x" * 80 + " 1234567 " + "y" * 80]
+        docs = spark.createDataFrame(list(enumerate(planted + clean)), "doc_id int, text string")
+        want = None
+        for limit in (pii.BROADCAST, 0):  # broadcast patterns, and joined ones
+            got = {r.doc_id: (r.spans, r.n_context) for r in pii.find(docs, limit=limit).collect()}
+            hit = [f"context:{t.index(x)}:{t.index(x) + len(x)}" in got[k][0].split(",") for k, (x, t) in enumerate(zip(secrets, planted))]
+            assert sum(hit) >= 0.9 * len(hit) and sum(got[k][1] for k in range(len(planted), len(got))) == 0
+            assert want is None or got == want
+            want = got
+        assert pii._patterns(clean[-1], 81, 88) == [] and pii._SECRET.fullmatch("a1" * 16) and not pii._SECRET.fullmatch("1" * 40) and not pii._SECRET.fullmatch("ab" * 20)
+
+    def test_long_text_with_hits(self, spark):
+        filler = "lorem ipsum dolor " * 20_000
+        r = pii.find(spark.createDataFrame([(1, f"{filler}a.b@c.de {filler}")], "doc_id int, text string")).first()
+        assert r.spans == f"email:{len(filler)}:{len(filler) + 8}" and r.n_email == 1
+
     def test_runs_of_tokens(self):
         def runs(text):
-            return [text[a:b] for a, b, seed, *_ in pii.candidates(text, pii.base_spans(text)) if seed is False and " " in text[a:b]]
+            return [text[a:b] for a, b, *_, own in pii.candidates(text, pii.base_spans(text)) if own and " " in text[a:b]]
 
         assert runs("iban GB82 WEST 1234 5698 7654 32, then") == ["GB82 WEST 1234 5698 7654 32"] and runs("in 2019, 1234567 or (030) 77 8899.") == ["(030) 77 8899"]
         assert runs("a@b.c1 1234567 x1 and 1234567\n7654321") == ["1234567 x1"] and "".join(runs(" ".join(f"{k:06}" for k in range(20)))).count("0000") == 20
