@@ -5,11 +5,11 @@ pair of the lowest rank first and of equal ranks the leftmost, until no pair has
 
 * ``encode_words`` folds the ranked merges with Spark higher-order functions over the byte arrays of distinct words.
   The rank map is a literal: an array of small maps by hash, since Spark searches a map from end to end.
-* ``encode`` counts the distinct words of the corpus and has ``encode_words`` fold them, each once: all that stand twice
-  or more, or, where those are more than ``CACHE_WORDS``, all that stand so often that they are not.  The table of
-  their ids is packed (a hash, an end and the ids: about 24 bytes a word), so it is bounded and broadcast, and each word of
-  each text is looked up in it; that the ids spell the word is checked.  A word that stands once goes through ``fold``, a
-  heap in Python with the same merges, where it stands, as its ids are needed there only.  No text is shuffled.
+* ``encode`` counts the distinct words of the corpus and has ``encode_words`` fold them, each once: all that some task
+  meets twice or more, or, where those are more than ``CACHE_WORDS``, all that stand so often that they are not.  The table of
+  their ids is packed (96 bits of hashes, a place and the ids: about 35 bytes a word), so it is bounded and broadcast, and each
+  word of each text is looked up in it.  A word that no task meets twice goes through
+  ``fold``, a heap in Python with the same merges, where it stands, as its ids are needed there only.  No text is shuffled.
 * ``decode`` concatenates the binary pieces of the ids.
 
 A null text is an empty one; an empty text has no ids.  Repeated rows are encoded row by row; an empty table gives an
@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,12 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquery.llm import bytewords as bw
-from docquery.llm.shared import drop, parts, stored
+from docquery.llm.shared import drop, stored
 
-#: Words in the broadcast table; words a task counts or remembers before it starts anew; bytes of a word that is folded.
-CACHE_WORDS, TASK_WORDS, LONG_WORD = 1 << 21, 1 << 19, 256
-#: Tasks that fold words (each unpacks the literal rank map anew) at least, and words of a task, about.
-ENCODE_TASKS, ENCODE_WORDS = 12, 1 << 16
+#: Words in the broadcast table; words a task counts, and remembers, before it starts anew; bytes of a word that is folded.
+CACHE_WORDS, COUNTED, REMEMBERED, LONG_WORD = 1 << 21, 1 << 19, 1 << 18, 256
+#: Bytes of a word that needs no heap.
+_SHORT = 32
 _BUCKETS = 1 << 13
 _NONE = 2147483647
 
@@ -50,10 +51,22 @@ def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
 
 
 def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ranks of the pieces of one word; a heap finds the lowest pair, the leftmost first."""
+    """Ranks of the pieces of one word; a heap finds the lowest pair, the leftmost first, and a scan in a short word."""
     if word in ranks:
         return [ranks[word]]
     n = len(word)
+    if n <= _SHORT:
+        pieces, get = [word[i : i + 1] for i in range(n)], ranks.get
+        pairs = [get(word[i : i + 2], _NONE) for i in range(n - 1)]
+        while pairs and (least := min(pairs)) < _NONE:
+            i = pairs.index(least)
+            pieces[i] += pieces.pop(i + 1)
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = get(pieces[i] + pieces[i + 1], _NONE)
+            if i:
+                pairs[i - 1] = get(pieces[i - 1] + pieces[i], _NONE)
+        return [ranks[p] for p in pieces]
     end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # by start of the piece
     heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
     heapq.heapify(heap)
@@ -79,12 +92,11 @@ def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def _bucket(key: str) -> int:
     """Bucket of a piece in hex digits, as ``_rank`` computes it in Spark."""
-    return (int(key[:6], 16) * 31 + int(key[-6:], 16) * 7 + len(key)) % _BUCKETS
+    return zlib.crc32(key.encode()) % _BUCKETS
 
 
 def _rank(key: str) -> str:
-    at = f"(cast(conv(substring({key}, 1, 6), 16, 10) AS bigint) * 31 + cast(conv(right({key}, 6), 16, 10) AS bigint) * 7 + length({key})) % {_BUCKETS}"
-    return f"coalesce(try_element_at(get(m, cast({at} AS int)), {key}), {_NONE})"
+    return f"coalesce(try_element_at(get(m, cast(crc32(cast({key} AS binary)) % {_BUCKETS} AS int)), {key}), {_NONE})"
 
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word") -> DataFrame:
@@ -99,14 +111,14 @@ def encode_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word")
         buckets[_bucket(key)][key] = rank
     literal = f"from_json('{json.dumps(buckets, separators=(',', ':'))}', 'array<map<string,int>>')"
     step = f"""
-      (s, _k) -> IF(size(s.r) = 0 OR array_min(s.r) = {_NONE}, s,
-        transform(array(cast(array_position(s.r, array_min(s.r)) AS int)), i ->
+      (s, _k) -> transform(array(coalesce(array_min(s.r), {_NONE})), least -> IF(least = {_NONE}, s,
+        transform(array(cast(array_position(s.r, least) AS int)), i ->
           transform(array(concat(s.p[i - 1], s.p[i])), x -> struct(
             concat(slice(s.p, 1, i - 1), array(x), slice(s.p, i + 2, size(s.p))) AS p,
             concat(slice(s.r, 1, greatest(0, i - 2)),
               IF(i > 1, transform(array(concat(get(s.p, i - 2), x)), y -> {_rank('y')}), cast(array() AS array<int>)),
               IF(i < size(s.r), transform(array(concat(x, get(s.p, i + 1))), y -> {_rank('y')}), cast(array() AS array<int>)),
-              slice(s.r, i + 2, size(s.r))) AS r))[0])[0])"""
+              slice(s.r, i + 2, size(s.r))) AS r))[0])[0]))[0]"""
     start = f"""transform(array(transform(sequence(0, cast(length(h) / 2 AS int) - 1), i -> substring(h, cast(2 * i + 1 AS int), 2))), p ->
         struct(p AS p, IF(size(p) < 2, cast(array() AS array<int>), transform(sequence(1, size(p) - 1), i -> transform(array(concat(p[i - 1], p[i])), y -> {_rank('y')})[0])) AS r))[0]"""
     folded = f"aggregate(IF(length(h) < 4, cast(array() AS array<int>), sequence(2, cast(length(h) / 2 AS int))), {start}, {step}, s -> transform(s.p, y -> {_rank('y')}))"
@@ -128,14 +140,14 @@ def _count_words(pattern: str, text: str):
         words, counts = regex.compile(pattern), Counter()
 
         def out():
-            short = {w: n for w, n in counts.items() if len(w) <= LONG_WORD // 4 or len(w.encode()) <= LONG_WORD}
+            short = {w: n for w, n in counts.items() if n > 1 and (len(w) <= LONG_WORD // 4 or len(w.encode()) <= LONG_WORD)}
             return pa.RecordBatch.from_arrays([pa.array(short, pa.string()), pa.array(short.values(), pa.int64())], ["word", "n"])
 
         for batch in batches:
             data, offsets = bw.buffers(batch.column(text))
             for a, b in zip(offsets, offsets[1:]):
                 counts.update(words.findall(data[a:b].tobytes().decode()))
-                if len(counts) > TASK_WORDS:
+                if len(counts) > COUNTED:
                     yield out()
                     counts.clear()
         yield out()
@@ -144,9 +156,9 @@ def _count_words(pattern: str, text: str):
 
 
 def repeated_words(docs: DataFrame, pattern: str, text: str = "text", limit: int = CACHE_WORDS) -> DataFrame:
-    """(word, n) of the words that stand twice or more: all, or those above the least count that leaves at most ``limit``."""
+    """(word, n) of the words that some task meets twice or more: all, or those above the least count that leaves at most ``limit``."""
     counted = docs.select(text).mapInArrow(_count_words(pattern, text), "word string, n long")
-    words = stored(counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "bpe-words")
+    words = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "bpe-words")
     left, least = 0, 1
     # words by the power of two of their count: 63 rows at most
     for r in words.groupBy(F.expr("length(bin(n)) - 1").alias("power")).count().orderBy(F.desc("power")).collect():
@@ -159,36 +171,42 @@ def repeated_words(docs: DataFrame, pattern: str, text: str = "text", limit: int
     return out
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
+def _hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word to find it by, and another to tell words apart that share the first."""
+    words = list(map(str.encode, words))
     data, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum([0, *map(len, words)])
-    return bw.word_hashes(data, ends[:-1], ends[1:], lower=False)
+    return bw.word_hashes(data, ends[:-1], ends[1:], lower=False), np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The table's part of one task: hashes of words, numbers of their ids, and the ids."""
+    """The table's part of one task: both hashes of words, numbers of their ids, and the ids."""
     for batch in batches:
         ids = batch.column("ids")
         sizes, flat = np.diff(ids.offsets.to_numpy()), ids.flatten().to_numpy()
-        hashes = _hashes([w.encode() for w in batch.column("word").to_pylist()])
-        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (hashes, sizes.astype(np.int32), flat.astype(np.int32))], ["hashes", "sizes", "ids"])
+        own = (*_hashes(batch.column("word").to_pylist()), sizes.astype(np.int32), flat.astype(np.int32))
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in own], ["hashes", "checks", "sizes", "ids"])
 
 
 class _Table:
     """Ids of the folded words, by the hash of the word."""
 
-    def __init__(self, parts: list[tuple[bytes, bytes, bytes]]):
-        hashes, sizes, ids = (np.concatenate([np.zeros(0, t), *[np.frombuffer(p[k], t) for p in parts]]) for k, t in enumerate((np.uint64, np.int32, np.int32)))
-        starts = np.cumsum(sizes) - sizes
+    def __init__(self, parts: list[tuple[bytes, ...]]):
+        kinds = (np.uint64, np.uint32, np.int32, np.int32)
+        hashes, checks, sizes, ids = (np.concatenate([np.zeros(0, t), *[np.frombuffer(p[k], t) for p in parts]]) for k, t in enumerate(kinds))
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
         order = np.argsort(hashes, kind="stable")
-        self.hashes, self.starts, self.sizes, self.ids = hashes[order], starts[order].astype(np.int64), sizes[order], ids
+        self.hashes, self.checks, self.starts, self.sizes, self.ids = hashes[order], checks[order], starts[order], sizes[order], ids.tobytes()
 
-    def look_up(self, words: list[str]) -> Iterator[tuple[str, np.ndarray]]:
-        """The words that are in the table, or share a hash with one that is."""
-        found = _hashes([w.encode() for w in words])
-        at = np.minimum(np.searchsorted(self.hashes, found), max(len(self.hashes) - 1, 0))
-        for k in np.flatnonzero(self.hashes[at] == found) if len(self.hashes) else ():
-            start = self.starts[at[k]]
-            yield words[k], self.ids[start : start + self.sizes[at[k]]]
+    def look_up(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The words that are in the table, with their ids."""
+        if not len(self.hashes):
+            return
+        found, checks = _hashes(words)
+        at = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
+        hit = np.flatnonzero((self.hashes[at] == found) & (self.checks[at] == checks))
+        at = at[hit]
+        for k, a, n in zip(hit.tolist(), (4 * self.starts[at]).tolist(), (4 * self.sizes[at]).tolist()):
+            yield words[k], self.ids[a : a + n]
 
 
 class _Ids(dict):
@@ -197,15 +215,12 @@ class _Ids(dict):
     def __init__(self, table: _Table, ranks: dict[bytes, int]):
         super().__init__()
         self.table, self.ranks = table, ranks
-        self.pieces = {r: p for p, r in ranks.items()}
 
     def learn(self, words: set[str]) -> None:
         """The table's ids of words that are new to this task."""
-        if len(self) > TASK_WORDS:
+        if len(self) > REMEMBERED:
             self.clear()
-        for word, ids in self.table.look_up([w for w in words if w not in self]):
-            if b"".join(map(self.pieces.__getitem__, ids.tolist())) == word.encode():
-                self[word] = ids.tobytes()
+        self.update(self.table.look_up(list(words.difference(self))))
 
     def __missing__(self, word: str) -> bytes:
         out = self[word] = np.array(fold(word.encode(), self.ranks), np.int32).tobytes()
@@ -221,7 +236,7 @@ def _encode(broadcast, pattern: str, text: str, kept: list[str]):
             found = []
             for i, j, part, own in bw.runs(data, offsets):
                 split = [words.findall(part[a:b].tobytes().decode()) for a, b in zip(own, own[1:])]
-                ids.learn({w for x in split for w in x})
+                ids.learn(set().union(*split))
                 found += [b"".join(map(ids.__getitem__, x)) for x in split]
             ends = np.zeros(len(found) + 1, np.int32)
             np.cumsum([len(x) // 4 for x in found], out=ends[1:])
@@ -236,10 +251,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     docs = docs.drop("ids")
     kept = [c for c in docs.columns if with_text or c != text]
     words = repeated_words(docs, pattern, text, limit)
-    tasks = max(min(parts(docs.sparkSession), ENCODE_TASKS), words.count() // ENCODE_WORDS)
-    folded = encode_words(words.select("word").repartition(tasks, "word"), ranks)
-    packed = folded.mapInArrow(_pack, "hashes binary, sizes binary, ids binary")
-    table = _Table([tuple(map(bytes, r)) for r in packed.toLocalIterator()])  # ``limit`` words at most
+    folded = encode_words(words.select("word"), ranks)  # no exchange: each plan that is made anew holds the literal anew
+    packed = folded.mapInArrow(_pack, "hashes binary, checks binary, sizes binary, ids binary")
+    table = _Table([tuple(map(bytes, r)) for r in packed.collect()])  # ``limit`` words at most
     drop(words)
     broadcast = docs.sparkSession.sparkContext.broadcast((table, ranks))
     del table

@@ -204,20 +204,23 @@ class TestBpe:
         assert {r.word: r.ids for r in got} == {w: ENCODING._core_bpe.encode_single_piece(w.encode()) if w else [] for w in words}
 
     def test_words_that_the_fold_sees(self, spark):
-        """Each word that stands twice is folded, and with a lower limit those that stand more often; ids are the same."""
+        """Each word that a task meets twice is folded, and with a lower limit those that stand more often; ids are the same."""
         rows = [("one one two two two three three three three four-four-four " + "y" * 300 + " " + "y" * 300,), ("one five 漢字漢字 naïve naïve",)]
-        docs = spark.createDataFrame(rows, "text string")
+        docs = spark.createDataFrame(rows, "text string").coalesce(1)
         want = [ENCODING.encode_ordinary(r[0]) for r in rows]
         for limit, folded in ((bpe.CACHE_WORDS, {" one": 0, " two": 3, " three": 4, "-": 2, "four": 0, " naïve": 2}), (2, {" three": 4}), (0, {})):
             got = {r.word: r.n for r in bpe.repeated_words(docs, public_tokenizers.PATTERN, limit=limit).collect()}
             assert all(got[w] == n for w, n in folded.items() if n) and (limit > 2 or len(got) <= limit) and not any(len(w) > 200 for w in got)
             assert sorted(r.ids for r in bpe.encode(docs, RANKS, public_tokenizers.PATTERN, limit=limit).collect()) == sorted(want)
 
-    def test_hashes_that_agree_are_told_apart(self):
-        ids = bpe._Ids(bpe._Table([]), RANKS)
-        ids.table.look_up = lambda words: [(w, np.array([5], np.int32)) for w in words]
-        ids.learn({"hello"})
-        assert np.frombuffer(ids["hello"], np.int32).tolist() == ENCODING.encode_ordinary("hello")
+    def test_table(self):
+        """A word whose first hash is another's is not taken for it."""
+        (h,), (c,) = bpe._hashes(["hello"])
+        part = lambda check: tuple(np.array(x, t).tobytes() for x, t in (([h], np.uint64), ([check], np.uint32), ([2], np.int32), ([5, 6], np.int32)))
+        for check, want in ((c, [5, 6]), (c ^ 1, ENCODING.encode_ordinary("hello"))):
+            ids = bpe._Ids(bpe._Table([part(check)]), RANKS)
+            ids.learn({"hello", "other"})
+            assert np.frombuffer(ids["hello"], np.int32).tolist() == want and np.frombuffer(ids["other"], np.int32).tolist() == ENCODING.encode_ordinary("other")
 
     def test_round_trip(self, odd, none):
         encoded = bpe.encode(odd, RANKS, public_tokenizers.PATTERN, with_text=True)
