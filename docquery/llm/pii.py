@@ -8,14 +8,18 @@ Every identifier-like token (it holds a digit, and has ``SHORTEST`` characters o
 such tokens with one space between (and a short code in capitals).  The words to the left and right are
 lexical patterns, whatever the instance's shape; the left words with the shape are further, narrower patterns.  Spark
 scores the graph of patterns and instances in rounds until the trusted patterns settle (``ROUNDS`` at most): a pattern's confidence is the mean score of its distinct
-instances, and an instance's score is the highest confidence of a pattern that is trusted.  A sample of plain words
-(about one in ``STRIDE`` characters) are instances of score 0, so that a word that stands before anything is no
-pattern.  Instances that a trusted pattern finds, and no base kind covers, are spans of kind ``context``; a token in a
+instances, and an instance's score is the highest confidence of a pattern that is trusted.  Every plain word (a word
+without a digit, in no base match) is an instance of score 0, so that a word that stands before anything is no
+pattern.  More instances of score 0 only ever lower a confidence: the rounds run without plain words first, and the
+patterns that are not trusted then are not trusted with them either.  So plain words are counted, all of them, for those
+that are left.  Where a task alone finds more different plain words of a pattern than any confidence has room for, the
+pattern is out, as with the count of all, and is not looked for any more.  Instances that a trusted pattern finds, and no base kind covers, are spans of kind ``context``; a token in a
 run that is found is part of the run's span.  Words of a pattern are looked for in the ``AROUND`` characters on either
 side; one that is longer is no pattern.  Shapes of more than ``SHAPE`` characters are one with those that begin alike.
 
-The texts are read twice and never shuffled: once for the graph, and once to find what the trusted patterns find.  Of
-these, ``BROADCAST`` at most are broadcast; where there are more, they are joined with the instances of each text.
+The texts are read three times and never shuffled: for the graph, for the plain words, and to find what the trusted
+patterns find.  Of patterns, ``BROADCAST`` at most are broadcast; where there are more, they are joined with the plain
+words, or with the instances of each text.
 
 Spans are in code points, end exclusive.  Null and empty texts have none.  Repeated rows count once in the graph, as
 instances are distinct, and are reported row by row; an empty table gives an empty result.  Further columns pass
@@ -24,9 +28,10 @@ through, and those named like a result column are replaced.
 
 from __future__ import annotations
 
+import math
 import re
-import zlib
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterator, Set
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,13 +53,17 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Characters of text for each plain word that is sampled, and tokens of a run: a longer one is taken in pieces.
-STRIDE, RUN = 2048, 8
+#: Tokens of a run: a longer one is taken in pieces.
+RUN = 8
+#: Pairs of a pattern and a plain word that a task tells apart before it passes them on.
+PAIRS = 1 << 17
+#: Confidence and support that a pattern may lack in the rounds without plain words: sums of doubles have no fixed order.
+SLACK = 1e-6
 _TOKEN = re.compile(r"(?<!\S)[^\s0-9]*+[0-9]\S*+")
 _EDGE = " \t\n\r\v\f.,;:!?\"'()[]{}<>*#$%&|="
 _INNER = _EDGE.replace("(", "").replace(")", "")
 _BETWEEN = re.compile(r" (?:[A-Z]{1,4} )?")
-_PLAIN = re.compile(r"(?<=\s)[^\s0-9]+(?!\S)")
+_WORD, _DIGIT = re.compile(r"\S+"), re.compile(r"[0-9]")
 _SHAPES = ((re.compile(r"[0-9]+"), "9"), (re.compile(r"[^\W\d_]+"), "a"))
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _SECRET = re.compile(r"(?=[0-9]*[A-Fa-f])(?=[A-Fa-f]*[0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,})")
@@ -169,18 +178,53 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, i
     return out
 
 
-def plain_words(text: str) -> list[tuple[int, int, None, str, list[str], bool]]:
-    """A sample of words without digits, as candidates that are neither seeds nor open."""
-    out, at = [], zlib.crc32(text.encode())
-    for _ in range((len(text) + at % STRIDE) // STRIDE):
-        at = (at * 1664525 + 1013904223) % (1 << 32)
-        p = at % len(text)
-        m = _PLAIN.search(text, p, p + 256)
-        if m and "@" not in m.group():
-            out.append((*m.span(), None, "\t" + m.group(), _lexical(text, *m.span()), False))
+def plain_words(text: str, known: Set[str] | None = None, beside: Set[str] | None = None) -> set[tuple[str, str]]:
+    """(lexical pattern, word) of every word without digits that overlaps no base match, of patterns in ``known`` if given.
+
+    ``beside`` are the words next to the instances of known patterns.  The patterns are those of ``_lexical``.
+    """
+    words = [w.strip(_EDGE).lower() for w in text.split()]
+    if beside is not None and not any(w in beside for w in words):
+        return set()
+    bounds, base, out = [m.span() for m in _WORD.finditer(text)], None, set()
+    if "" in words:
+        bounds, words = [b for b, w in zip(bounds, words) if w], [w for w in words if w]
+    last = len(words) - 1
+    near = range(len(words)) if beside is None else sorted({j for i, w in enumerate(words) if w in beside for j in (i - 1, i + 1) if 0 <= j <= last})
+    for i in near:
+        start, end = bounds[i]
+        word = text[start:end]
+        if _DIGIT.search(word):
+            continue
+        own = word.strip(_EDGE)
+        start += word.index(own)
+        end = start + len(own)
+        if "@" in own or not own.strip("-.()"):
+            base = base_spans(text) if base is None else base
+            if any(a < end and start < b for _, a, b in base):
+                continue
+        patterns, left, right = [], None, None
+        if i and bounds[i - 1][0] >= start - AROUND:
+            left = words[i - 1]
+            patterns.append("l\t" + left)
+            if i > 1 and bounds[i - 2][0] >= start - AROUND:
+                patterns.append(f"l\t{words[i - 2]} {left}")
+        if i < last and bounds[i + 1][1] <= end + AROUND:
+            right = words[i + 1]
+            if left is not None:
+                patterns.append(f"b\t{left}\t{right}")
+            if i + 1 < last and bounds[i + 2][1] <= end + AROUND:
+                patterns.append(f"r\t{right} {words[i + 2]}")
+        out.update((p, own) for p in patterns if known is None or p in known)
     return out
 
 
+def _beside(pattern: str) -> str:
+    """The word of a lexical pattern that stands next to the instance."""
+    kind, words, *_ = pattern.split("\t")
+    return words.split(" ")[0 if kind == "r" else -1]
+
+
 _CANDIDATE = T.StructType([
     T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("seed", T.BooleanType()),
     T.StructField("instance", T.StringType()), T.StructField("patterns", T.ArrayType(T.StringType())), T.StructField("open", T.BooleanType())])
@@ -191,8 +235,8 @@ _ARROW_FOUND = [*[pa.int64()] * len(KINDS), pa.string(), pa.list_(pa.struct([("s
 _SIGN = re.compile(rb"[0-9@]")
 
 
-def _instances(docs: DataFrame, text: str, kept: list[str], plain: bool) -> DataFrame:
-    """``kept`` with _candidates, and with the sampled plain words among them if ``plain``."""
+def _instances(docs: DataFrame, text: str, kept: list[str]) -> DataFrame:
+    """``kept`` with _candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,14 +244,70 @@ def _instances(docs: DataFrame, text: str, kept: list[str], plain: bool) -> Data
             rows = []
             for a, b in zip(offsets, offsets[1:]):
                 raw = data[a:b].tobytes()
-                own = raw.decode() if plain or _SIGN.search(raw) else ""
-                found = candidates(own, base_spans(own)) if _SIGN.search(raw) else []
-                rows.append([dict(zip(_CANDIDATE.names, c)) for c in [*found, *(plain_words(own) if plain else [])]])
+                own = raw.decode() if _SIGN.search(raw) else ""
+                rows.append([dict(zip(_CANDIDATE.names, c)) for c in (candidates(own, base_spans(own)) if own else [])])
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(rows, _ARROW)], [*kept, "_candidates"])
 
     return docs.mapInArrow(run, T.StructType([*[f for f in docs.schema.fields if f.name in kept], T.StructField("_candidates", T.ArrayType(_CANDIDATE))]))
 
 
+def _plain(docs: DataFrame, text: str, rooms) -> DataFrame:
+    """(pattern, word) of all plain words, of the broadcast patterns if there are any; pairs may repeat.
+
+    A pattern comes with the number of plain words that it has room for.  Once a task finds more, it passes on the pattern
+    with a null.  It counts slots that words fall into, which are never more than the words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        room = rooms.value if rooms is not None else {}
+        known = set(room) if rooms is not None else None
+        uses = Counter(map(_beside, room))
+        beside = set(uses) if rooms is not None else None
+        slots: dict[str, bytearray] = {}
+        used: Counter[str] = Counter()
+        pairs: defaultdict[str, set[str | None]] = defaultdict(set)
+        held = 0
+
+        def packed() -> pa.RecordBatch:
+            rows = [(p, w) for p, ws in pairs.items() for w in ws]
+            pairs.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in (0, 1)], ["pattern", "word"])
+
+        for batch in batches:
+            data, offsets = bw.buffers(batch.column(text))
+            for a, b in zip(offsets, offsets[1:]):
+                for p, w in plain_words(data[a:b].tobytes().decode(), known, beside):
+                    if known is not None:
+                        if p not in known:
+                            continue
+                        own = slots.get(p)
+                        if own is None:
+                            own = slots[p] = bytearray(4 * room[p] + 64)
+                        at = hash(w) % len(own)
+                        if not own[at]:
+                            own[at] = 1
+                            used[p] += 1
+                            if used[p] > room[p]:
+                                known.discard(p)
+                                held -= len(pairs[p]) - 1
+                                pairs[p] = {None}
+                                del slots[p]
+                                word = _beside(p)
+                                uses[word] -= 1
+                                if not uses[word]:
+                                    beside.discard(word)
+                                continue
+                    if w not in pairs[p]:
+                        pairs[p].add(w)
+                        held += 1
+                if held >= PAIRS:
+                    yield packed()
+                    held = 0
+        yield packed()
+
+    return docs.select(text).mapInArrow(run, "pattern string, word string")
+
+
 def _outermost(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Sorted spans without those inside another."""
     out: list[tuple[int, int]] = []
@@ -240,26 +340,46 @@ def _spans(docs: DataFrame, text: str, kept: list[str], trusted) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*[f for f in docs.schema.fields if f.name in kept], *_FOUND.fields]))
 
 
-def trusted_patterns(found: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
+def _settled(edges: DataFrame, plain: DataFrame | None, rounds: int, confidence: float, support: float) -> DataFrame:
+    """(pattern, confidence, _mass, _n) of the trusted patterns, when they have settled or after ``rounds``; stored."""
+    scored, patterns, state = edges.select("pattern", "instance", F.col("seed").cast("double").alias("score")), None, None
+    for _ in range(rounds):
+        own = scored.groupBy("pattern").agg(F.sum("score").alias("_mass"), F.count("*").alias("_n"))
+        if plain is not None:
+            own = own.join(plain, "pattern", "left").withColumn("_n", F.col("_n") + F.coalesce("n_plain", F.lit(0)))
+        own = own.withColumn("confidence", F.col("_mass") / F.col("_n"))
+        last, patterns = patterns, stored(own.where((F.col("confidence") >= confidence) & (F.col("_mass") >= support)).select("pattern", "confidence", "_mass", "_n"), "pii-patterns")
+        drop(*([last] if last is not None else []))
+        seen, state = state, patterns.agg(F.count("*"), F.sum(F.xxhash64("pattern", F.round("confidence", 9)).cast("decimal(38,0)"))).first()
+        if state == seen:
+            break
+        reached = edges.join(patterns, "pattern").groupBy("instance").agg(F.max("confidence").alias("_reached"))
+        scored = edges.join(reached, "instance", "left").withColumn("score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("_reached", F.lit(0.0)))).select("pattern", "instance", "score")
+    return patterns
+
+
+def trusted_patterns(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT, limit: int = BROADCAST) -> DataFrame:
     """(pattern, confidence) over the pattern-instance graph, when it has settled or after ``rounds``.
 
     Edges are distinct, so a pattern or an instance of a third of all places has one edge for each different partner.
     All steps are aggregates that combine before the exchange and equi-joins that adaptive execution can split.
     """
-    places = found.select(F.inline("_candidates")).select("seed", "instance", F.explode("patterns").alias("pattern"))
+    places = _instances(docs, text, []).select(F.inline("_candidates")).select("seed", "instance", F.explode("patterns").alias("pattern"))
     edges = stored(places.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
-    open_, plain = edges.where(F.col("seed").isNotNull()), edges.where(F.col("seed").isNull()).select("pattern", "instance", F.lit(0.0).alias("score"))
-    scored, patterns, state = open_.select("pattern", "instance", F.col("seed").cast("double").alias("score")), None, None
-    for _ in range(rounds):
-        own = scored.unionByName(plain).groupBy("pattern").agg(F.avg("score").alias("confidence"), F.sum("score").alias("_mass"))
-        last, patterns = patterns, stored(own.where((F.col("confidence") >= confidence) & (F.col("_mass") >= support)).select("pattern", "confidence"), "pii-patterns")
-        drop(*([last] if last is not None else []))
-        seen, state = state, patterns.agg(F.count("*"), F.sum(F.xxhash64("pattern", F.round("confidence", 9)).cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        reached = open_.join(patterns, "pattern").groupBy("instance").agg(F.max("confidence").alias("_reached"))
-        scored = open_.join(reached, "instance", "left").withColumn("score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("_reached", F.lit(0.0)))).select("pattern", "instance", "score")
-    drop(edges)
+    # scores only rise from round to round, and fall with every plain word: no other pattern can be trusted
+    likely = _settled(edges, None, rounds, confidence - SLACK, support - SLACK)
+    lexical = likely.where(~F.col("pattern").startswith("s\t")).select("pattern", "_mass", "_n")
+    few = confidence > SLACK and lexical.limit(limit + 1).count() <= limit
+    rooms = docs.sparkSession.sparkContext.broadcast({r["pattern"]: math.floor(r["_mass"] / (confidence - SLACK)) - r["_n"] for r in lexical.toLocalIterator()}) if few else None
+    pairs = _plain(docs, text, rooms)
+    pairs = pairs if few else pairs.join(lexical, "pattern", "left_semi")
+    plain = stored(pairs.distinct().groupBy("pattern").agg(F.count("word").alias("n_plain"), F.max(F.col("word").isNull()).alias("_out")), "pii-plain")
+    narrow = stored(edges.join(likely, "pattern", "left_semi").join(plain.where("_out"), "pattern", "left_anti"), "pii-likely")
+    drop(edges, likely)
+    if few:
+        rooms.destroy()
+    patterns = _settled(narrow, plain.select("pattern", "n_plain"), rounds, confidence, support)
+    drop(narrow, plain)
     return patterns
 
 
@@ -271,14 +391,14 @@ def find(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confidence:
     new = {*_FOUND.names, "n_context", "base_spans", "spans", "_row"} - {text}
     docs = docs.drop(*(c for c in docs.columns if c in new))
     kept = [c for c in docs.columns if with_text or c != text]
-    patterns = trusted_patterns(_instances(docs.select(text), text, [], True), rounds, confidence, support)
+    patterns = trusted_patterns(docs.select(text), text, rounds, confidence, support, limit)
     few = patterns.limit(limit + 1).count() <= limit
     if few:
         known = docs.sparkSession.sparkContext.broadcast(frozenset(r["pattern"] for r in patterns.toLocalIterator()))
         out = _spans(docs, text, kept, known).withColumnRenamed("_base", "base_spans")
     else:
         rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "pii-rows")
-        open_ = _instances(rows.select("_row", text), text, ["_row"], False).select("_row", F.inline("_candidates")).where("open").select("_row", "start", "end", F.explode("patterns").alias("pattern"))
+        open_ = _instances(rows.select("_row", text), text, ["_row"]).select("_row", F.inline("_candidates")).where("open").select("_row", "start", "end", F.explode("patterns").alias("pattern"))
         more = open_.join(patterns, "pattern").groupBy("_row").agg(F.array_sort(F.collect_set(F.struct("start", (-F.col("end")).alias("_end"), "end"))).alias("_more"))
         # a run comes before its tokens, RUN at most
         inside = lambda s, k: F.exists(F.slice("_more", F.greatest(k - RUN + 1, F.lit(1)), F.least(k, F.lit(RUN))), lambda r: r["end"] >= s["end"])

@@ -247,6 +247,29 @@ class TestPii:
         got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
         assert got[9] == ""
 
+    def test_every_plain_word_counts(self, spark):
+        """Words of short texts are no pattern where plain words follow them, whichever texts these stand in."""
+        rows = [f"w{k} near u{k}@mail{k}.example z{k}" for k in range(8)] + ["made near AB-123456 then"] + [f"near {a}{b} it" for a in "abcdef" for b in "xyz"]
+        for limit in (pii.BROADCAST, 0):  # 8 seeds of 9 instances and 18 plain words
+            got = {r.text: r.spans for r in pii.find(spark.createDataFrame([(r,) for r in rows], "text string"), with_text=True, limit=limit).collect()}
+            assert got[rows[8]] == "" and got[rows[0]] != ""
+            few = {r.text: r.spans for r in pii.find(spark.createDataFrame([(r,) for r in rows[:16]], "text string"), with_text=True, limit=limit).collect()}
+            assert few[rows[8]] == "context:10:19"  # 8 of 16: each word is counted, and counted once
+
+    @settings(max_examples=300, deadline=None)
+    @given(some.lists(some.sampled_from(["the", "Of", "(de", "a.", "=", "-", "é,", "x" * 30, "y" * 64, "12", "AB-12345", "a@b.c", "@home", "+1 - 2345 6789", " ", "\n", "\u2003"]), max_size=14).map(" ".join))
+    def test_plain_words_have_the_patterns_of_instances(self, text):
+        base, want = pii.base_spans(text), set()
+        for m in re.finditer(r"\S+", text):
+            own = m.group().strip(pii._EDGE)
+            a = m.start() + m.group().index(own)
+            b = a + len(own)
+            if own and not re.search("[0-9]", own) and not any(x < b and a < y for _, x, y in base):
+                want |= {(p, own) for p in pii._lexical(text, a, b)}
+        assert pii.plain_words(text) == want
+        known = frozenset(sorted({p for p, _ in want})[::2])
+        assert pii.plain_words(text, known, frozenset(map(pii._beside, known))) == {w for w in want if w[0] in known}
+
     def test_redaction(self, spark):
         docs = spark.createDataFrame([(1, "é mail a.b@c.de, ip 1.2.3.4."), (2, None), (3, "clean")], "doc_id int, text string")
         assert {r.doc_id: r.text for r in pii.redact(docs).collect()} == {1: "é mail [EMAIL], ip [IP].", 2: None, 3: "clean"}
