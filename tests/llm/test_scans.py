@@ -270,6 +270,14 @@ class TestPii:
         known = frozenset(sorted({p for p, _ in want})[::2])
         assert pii.plain_words(text, known, frozenset(map(pii._beside, known))) == {w for w in want if w[0] in known}
 
+    def test_the_pipeline_counts_every_plain_word(self, spark):
+        from corpus_pipeline import COLUMNS, personal_data
+
+        rows = [f"w{k} near u{k}@mail{k}.example z{k}" for k in range(8)] + ["made near AB-123456 then"] + [f"near {a}{b} it" for a in "abcdef" for b in "xyz"]
+        docs = spark.createDataFrame([(k, r, "en", "web", len(r)) for k, r in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+        got = {r.doc_id: r.text for r in personal_data(spark, docs, "").select(COLUMNS).collect()}
+        assert len(got) == len(rows) and got[0] == "w0 near [EMAIL] z0" and got[8] == rows[8]
+
     def test_redaction(self, spark):
         docs = spark.createDataFrame([(1, "é mail a.b@c.de, ip 1.2.3.4."), (2, None), (3, "clean")], "doc_id int, text string")
         assert {r.doc_id: r.text for r in pii.redact(docs).collect()} == {1: "é mail [EMAIL], ip [IP].", 2: None, 3: "clean"}
