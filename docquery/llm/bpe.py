@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquery.llm import bytewords as bw
-from docquery.llm.shared import drop, stored
+from docquery.llm.shared import drop, release, stored
 
 #: Words in the broadcast table; words a task counts, and remembers, before it starts anew; bytes of a word that is folded.
 CACHE_WORDS, COUNTED, REMEMBERED, LONG_WORD = 1 << 21, 1 << 19, 1 << 18, 256
@@ -251,12 +251,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     docs = docs.drop("ids")
     kept = [c for c in docs.columns if with_text or c != text]
     words = repeated_words(docs, pattern, text, limit)
+    release(docs.sparkSession)  # plans that hold the literal take the driver's memory
     folded = encode_words(words.select("word"), ranks)  # no exchange: each plan that is made anew holds the literal anew
     packed = folded.mapInArrow(_pack, "hashes binary, checks binary, sizes binary, ids binary")
     table = _Table([tuple(map(bytes, r)) for r in packed.collect()])  # ``limit`` words at most
     drop(words)
     broadcast = docs.sparkSession.sparkContext.broadcast((table, ranks))
-    del table
+    del table, folded, packed
+    release(docs.sparkSession)
     fields = [f for f in docs.schema.fields if f.name in kept]
     return docs.mapInArrow(_encode(broadcast, pattern, text, kept), T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False))]))
 

@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from docquery.llm import bytewords as bw
 from docquery.llm.components import components
-from docquery.llm.shared import drop, parts, stored
+from docquery.llm.shared import drop, parts, release, stored
 
 SHINGLE, THRESHOLD = 5, 75
 #: Sets and shingles in a part of a block; shingles of all blocks that one group of tasks' rows holds, about.
@@ -52,6 +52,8 @@ PACKED, PACKED_SETS, BIN_SHINGLES, SEEN = 1_500_000, 60_000, 4_000_000, 1 << 20
 PROBED = 32
 #: log2 of the counters for shingles, and their rows.
 _COUNTERS, _ROWS = 20, 16
+#: Bytes of a bit map that the driver gets at a time.
+PIECES = 1 << 23
 #: A key with many rows is dealt by so many values of another column too.
 _SALTS = 16
 _U = np.uint64
@@ -469,7 +471,8 @@ def _search(threshold: int, by_query: bool):
 def _marked(groups: DataFrame, column: str, count: int) -> np.ndarray:
     """Bit map of identities: 16 bits for each, 2**30 bits at most; identities that only share a bit are dropped later.
 
-    Tasks make the map in parts, so the driver gets its fixed size once and no identities.
+    Tasks make the map in parts, so the driver gets its fixed size once and no identities.  It gets ``PIECES`` bytes at a
+    time: each partition of a local iterator is a job of its own, and the driver keeps what it knows of every job.
     """
     log = min(30, max(16, (16 * count - 1).bit_length()))
     slot = F.shiftrightunsigned(F.col(column), 64 - log)
@@ -482,7 +485,8 @@ def _marked(groups: DataFrame, column: str, count: int) -> np.ndarray:
         return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([out.tobytes()], pa.binary())], ["piece", "bits"])
 
     marks = np.zeros(1 << (log - 3), np.uint8)
-    for r in words.distinct().groupBy("piece").applyInArrow(run, "piece int, bits binary").toLocalIterator():
+    pieces = words.distinct().groupBy("piece").applyInArrow(run, "piece int, bits binary")
+    for r in pieces.coalesce(-(-len(marks) // PIECES)).toLocalIterator():
         part = np.frombuffer(r["bits"], np.uint8)
         marks[r["piece"] * len(part) : (r["piece"] + 1) * len(part)] = part
     return marks
@@ -535,7 +539,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     counters = np.zeros((_ROWS, (1 << _COUNTERS) // _ROWS), np.uint32)
     sums = scanned.where(F.col("row").isNotNull()).select("row", "counts").repartition(_ROWS, "row").mapInArrow(_summed, "row int, counts binary")
-    for r in sums.toLocalIterator():  # 4 MB, whatever the corpus
+    for r in sums.collect():  # 4 MB, whatever the corpus
         counters[r["row"]] = np.frombuffer(r["counts"], np.uint32)
     table = context.broadcast(counters.ravel())
     total = slim.agg(F.sum("n_shingles")).first()[0] or 0
@@ -576,6 +580,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         cells = stored(_cells(linked), "jaccard-cells")
         more = search(cells, True, "jaccard-more")
         links = linked if more is None else linked.unionByName(more)
+        release(spark)  # the driver's parts of broadcast joins
         found = components(links.where("set != root").select(F.col("set").alias("u"), F.col("root").alias("v")), "jaccard-found")
         drop(linked, cells, *([] if more is None else [more]))
         for bits in maps:

@@ -49,6 +49,6 @@ def parts(spark: SparkSession) -> int:
 
 
 def release(spark: SparkSession) -> None:
-    """Shuffle files of finished steps go when the driver finds that nothing refers to them."""
+    """Shuffle files, broadcasts and plans of finished steps go when the driver finds that nothing refers to them."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()

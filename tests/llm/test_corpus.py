@@ -93,6 +93,26 @@ class TestJaccard:
         assert got == [(0, 1, None), (1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 3, 4), (5, 1, 5), (5, 1, 5), (6, 1, 6)]
         assert jj.jaccard_components(none).count() == 0
 
+    @pytest.mark.parametrize("size,jobs", [(1 << 23, 4), (1 << 17, 8)])
+    def test_a_bit_map_takes_few_jobs(self, spark, monkeypatch, size, jobs):
+        """The driver keeps what it knows of every job, so a map does not take one for each of the shuffle's partitions."""
+        monkeypatch.setattr(jj, "PIECES", size, raising=False)
+        held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+        old = {k: spark.conf.get(k) for k in held}
+        try:
+            for k, v in held.items():
+                spark.conf.set(k, v)
+            ids = spark.range(20_000).selectExpr("xxhash64(id) AS set")
+            spark.sparkContext.setJobGroup(f"map-{size}", "")
+            marks = jj._marked(ids, "set", 200_000)  # four pieces
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+            for k, v in old.items():
+                spark.conf.set(k, v)
+        slots = {(r["set"] & (1 << 64) - 1) >> 42 for r in ids.collect()}
+        assert len(marks) == 1 << 19 and set(np.flatnonzero(np.unpackbits(marks, bitorder="little")).tolist()) == slots
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"map-{size}")) <= jobs
+
     def test_components(self, spark):
         chain = [(k, k + 1) for k in range(40)] + [(100, 101), (7, 7)]
         got = {r.node: r.root for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
