@@ -22,7 +22,7 @@ from docquery.llm import pii as _pii
 from docquery.llm import quality_gbt as _gbt
 from docquery.llm import quality_rules as _quality
 from docquery.llm import warc as _warc
-from docquery.llm.shared import new_path
+from docquery.llm.shared import new_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -156,7 +156,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     arc, warc = new_path(spark, "arc"), new_path(spark, "warc")
     _warc.write_arc(_table(spark, sf_dir, "pages"), arc)
     _warc.convert(spark, arc, warc)
-    read = _warc.read_warc(spark, warc)
+    read = stored(_warc.read_warc(spark, warc).drop("uri"), "warc-records")  # used three times, and each parses the files
     targets = read.where(F.col("record_type") == "response").select(F.col("record_id").alias("refers_to_id"), F.col("rank").alias("refers_to"))
     seen = read.where(F.col("refers_to_id").isNotNull()).join(targets, "refers_to_id", "left")
     columns = [F.col("rank").alias("page_id"), "payload_bytes", "payload_digest", "record_type"]

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as some
 
 from docquery.llm import jaccard_join as jj
-from docquery.llm import warc
+from docquery.llm import queries, warc
 from docquery.llm.components import components
 
 
@@ -138,6 +138,14 @@ class TestWarc:
         assert {by[k].refers_to_id for k in (1, 2, None)} == {by[3].record_id}
         assert by[1].uri == "http://a/%20b" and by[3].uri == "unknown:"
 
+    def test_the_query_parses_its_archives_once(self, spark, tmp_path):
+        """The three uses of the records read a stored table instead of parsing the WARC files each."""
+        spark.createDataFrame(self.PAGES, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+        out = queries.QUERIES["op8_warc"](spark, str(tmp_path))
+        assert "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString()
+        got = {r.page_id: (r.record_type, r.refers_to) for r in out.collect()}
+        assert got == {1: ("revisit", 3), 2: ("revisit", 3), None: ("revisit", 3), **{k: ("response", None) for k in range(3, 8)}}
+
     def test_files_are_gzip_members(self, spark, tmp_path):
         import gzip
 
