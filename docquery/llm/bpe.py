@@ -8,8 +8,9 @@ pair of the lowest rank first and of equal ranks the leftmost, until no pair has
 * ``encode`` counts the distinct words of the corpus and has ``encode_words`` fold them, each once: all that some task
   meets twice or more, or, where those are more than ``CACHE_WORDS``, all that stand so often that they are not.  The table of
   their ids is packed (96 bits of hashes, a place and the ids: about 35 bytes a word), so it is bounded and broadcast, and each
-  word of each text is looked up in it.  A word that no task meets twice goes through
-  ``fold``, a heap in Python with the same merges, where it stands, as its ids are needed there only.  No text is shuffled.
+  word of each text is looked up in it.  A word that no task meets twice is merged where it stands, as its ids are needed
+  there only: by ``_Merges``, the same merges in numpy, many words at a time, or by ``fold``, a heap, if it is long.
+  No text is shuffled.
 * ``decode`` concatenates the binary pieces of the ids.
 
 A null text is an empty one; an empty text has no ids.  Repeated rows are encoded row by row; an empty table gives an
@@ -40,6 +41,8 @@ from docquery.llm.shared import drop, release, stored
 CACHE_WORDS, COUNTED, REMEMBERED, LONG_WORD = 1 << 21, 1 << 19, 1 << 18, 256
 #: Bytes of a word that needs no heap.
 _SHORT = 32
+#: Words that are merged at once have so many bytes at most, and are so many at most.
+_WIDTHS, _AT_ONCE = (4, 6, 8, 10, 12, 16, 24, 48), 1 << 13
 _BUCKETS = 1 << 13
 _NONE = 2147483647
 
@@ -209,18 +212,90 @@ class _Table:
             yield words[k], self.ids[a : a + n]
 
 
+class _Merges:
+    """The merges of ``fold`` for many words at once: a step merges one pair of each word that has one left.
+
+    Pieces are named by their rank, and bytes that have none by numbers above all ranks, so that a pair is one number.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.top = max(ranks.values(), default=-1)
+        names = {bytes([b]): self.top + 1 + b for b in range(256)} | ranks
+        pairs = {names[p[:i]] << 32 | names[p[i:]]: r for p, r in ranks.items() for i in range(1, len(p)) if p[:i] in names and p[i:] in names}
+        self.keys = np.array(sorted(pairs), np.int64)
+        self.ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
+        self.bytes = np.array([names[bytes([b])] for b in range(256)], np.int64)
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs; a piece that is not there is -1."""
+        if not len(self.keys):
+            return np.full(left.shape, _NONE, np.int32)
+        wanted = np.where(right < 0, -1, left << 32 | right)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.ranks[at], _NONE)
+
+    def _same_size(self, words: list[bytes], width: int) -> list[bytes]:
+        """Packed ids of words of ``width`` bytes at most."""
+        out, at, sizes = [b""] * len(words), np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words))
+        pieces = self.bytes[np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(-1, width)]
+        pieces[np.arange(width) >= sizes[:, None]] = -1
+        pairs = self.look_up(pieces[:, :-1], pieces[:, 1:])
+        while len(at):
+            rows = np.arange(len(at))
+            i = pairs.argmin(1) if pairs.shape[1] else np.zeros(len(at), np.int64)
+            least = pairs[rows, i] if pairs.shape[1] else np.full(len(at), _NONE, np.int32)
+            done = np.flatnonzero(least == _NONE)
+            if len(done):
+                if (pieces[done] > self.top).any():
+                    raise KeyError("a byte without a rank")
+                packed, width = pieces[done].astype(np.int32).tobytes(), 4 * pieces.shape[1]
+                for k, (j, n) in enumerate(zip(at[done].tolist(), (4 * sizes[done]).tolist())):
+                    out[j] = packed[k * width : k * width + n]
+                go = np.flatnonzero(least < _NONE)
+                at, sizes, pieces, pairs, i, least, rows = at[go], sizes[go], pieces[go], pairs[go], i[go], least[go], rows[: len(go)]
+                if not len(at):
+                    break
+            # the pair at i becomes one piece; what stands after it moves to the left
+            place = np.arange(pieces.shape[1] - 1)
+            pieces = np.where(place <= i[:, None], pieces[:, :-1], pieces[:, 1:])
+            pieces[rows, i] = least
+            pairs = np.where(place[:-1] < i[:, None], pairs[:, :-1], pairs[:, 1:])
+            sizes = sizes - 1
+            right, left = np.flatnonzero(i + 1 < pieces.shape[1]), np.flatnonzero(i > 0)
+            pairs[right, i[right]] = self.look_up(pieces[right, i[right]], pieces[right, i[right] + 1])
+            pairs[left, i[left] - 1] = self.look_up(pieces[left, i[left] - 1], pieces[left, i[left]])
+        return out
+
+    def fold(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of words of 1 to ``_WIDTHS[-1]`` bytes that are no pieces themselves."""
+        out, low = [b""] * len(words), 0
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        for width in _WIDTHS:
+            own = np.flatnonzero((sizes > low) & (sizes <= width)).tolist()
+            for k in range(0, len(own), _AT_ONCE):
+                some = own[k : k + _AT_ONCE]
+                for j, ids in zip(some, self._same_size([words[j] for j in some], width)):
+                    out[j] = ids
+            low = width
+        return out
+
+
 class _Ids(dict):
-    """Packed ids by word, for one task: from the table, or for a word that it lacks from the heap."""
+    """Packed ids by word, for one task: from the table, or for a word that it lacks from the merges or the heap."""
 
-    def __init__(self, table: _Table, ranks: dict[bytes, int]):
+    def __init__(self, table: _Table, ranks: dict[bytes, int], merges: _Merges | None = None):
         super().__init__()
-        self.table, self.ranks = table, ranks
+        self.table, self.ranks, self.merges = table, ranks, merges
 
     def learn(self, words: set[str]) -> None:
-        """The table's ids of words that are new to this task."""
+        """Ids of words that are new to this task; long ones, and all others without ``merges``, wait until they are asked for."""
         if len(self) > REMEMBERED:
             self.clear()
-        self.update(self.table.look_up(list(words.difference(self))))
+        new = list(words.difference(self))
+        self.update(self.table.look_up(new))
+        if self.merges:
+            left = [(w, b) for w in new if w not in self and len(b := w.encode()) <= _WIDTHS[-1] and b and b not in self.ranks]
+            self.update(zip([w for w, _ in left], self.merges.fold([b for _, b in left])))
 
     def __missing__(self, word: str) -> bytes:
         out = self[word] = np.array(fold(word.encode(), self.ranks), np.int32).tobytes()
@@ -256,7 +331,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     packed = folded.mapInArrow(_pack, "hashes binary, checks binary, sizes binary, ids binary")
     table = _Table([tuple(map(bytes, r)) for r in packed.collect()])  # ``limit`` words at most
     drop(words)
-    broadcast = docs.sparkSession.sparkContext.broadcast((table, ranks))
+    broadcast = docs.sparkSession.sparkContext.broadcast((table, ranks, _Merges(ranks)))
     del table, folded, packed
     release(docs.sparkSession)
     fields = [f for f in docs.schema.fields if f.name in kept]

@@ -19,6 +19,7 @@ from docquery.llm import quality_gbt as gbt
 
 RANKS = bpe.read_ranks(None, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 ENCODING = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+MERGES = bpe._Merges(RANKS)
 SMALL = "/root/testdata/sf0.01"
 katz_stored = katz.stored
 
@@ -198,6 +199,23 @@ class TestBpe:
         word = ("ab" * 5000).encode()
         assert bpe.fold(word, RANKS) == ENCODING._core_bpe.encode_single_piece(word)
 
+    @settings(max_examples=100, deadline=None)
+    @given(some.lists(some.one_of(some.text(min_size=1, max_size=12), some.text("abcé", min_size=1, max_size=48)), max_size=30))
+    def test_words_that_are_merged_together(self, words):
+        """Words that the table lacks are merged many at a time, with the ids of ``fold``; only pieces and long words are left to it."""
+        words = {w for w in words if w.encode("utf-8", "ignore") == w.encode("utf-8", "replace")}
+        ids = bpe._Ids(bpe._Table([]), RANKS, MERGES)
+        ids.learn(words)
+        assert ids.keys() == {w for w in words if len(w.encode()) <= 48 and w.encode() not in RANKS}
+        for w in words:
+            assert np.frombuffer(ids[w], np.int32).tolist() == bpe.fold(w.encode(), RANKS) == ENCODING._core_bpe.encode_single_piece(w.encode())
+
+    def test_merged_bytes_without_a_rank(self):
+        few = {b"a": 0, b"b": 1, b"ab": 2, b"cd": 3}
+        assert [np.frombuffer(x, np.int32).tolist() for x in bpe._Merges(few).fold([b"abab", b"cdab", b"b" * 5])] == [[2, 2], [3, 2], [1] * 5]
+        with pytest.raises(KeyError):
+            bpe._Merges(few).fold([b"abc"])
+
     def test_words_by_higher_order_functions(self, spark):
         words = ["", "a", " the", "zqxj", "naïve", "漢字", " 🎈🎈", "aaaaaaaa", "\n\n", "Donaudampfschiff"]
         got = bpe.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), RANKS).collect()
