@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquery.llm import bytewords as bw
-from docquery.llm.shared import drop, release, stored
+from docquery.llm.shared import drop, release, stored, trimmed
 
 #: Words in the broadcast table; words a task counts, and remembers, before it starts anew; bytes of a word that is folded.
 CACHE_WORDS, COUNTED, REMEMBERED, LONG_WORD = 1 << 21, 1 << 19, 1 << 18, 256
@@ -160,7 +160,7 @@ def _count_words(pattern: str, text: str):
 
 def repeated_words(docs: DataFrame, pattern: str, text: str = "text", limit: int = CACHE_WORDS) -> DataFrame:
     """(word, n) of the words that some task meets twice or more: all, or those above the least count that leaves at most ``limit``."""
-    counted = docs.select(text).mapInArrow(_count_words(pattern, text), "word string, n long")
+    counted = docs.select(text).mapInArrow(trimmed(_count_words(pattern, text)), "word string, n long")
     words = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "bpe-words")
     left, least = 0, 1
     # words by the power of two of their count: 63 rows at most
@@ -328,14 +328,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     words = repeated_words(docs, pattern, text, limit)
     release(docs.sparkSession)  # plans that hold the literal take the driver's memory
     folded = encode_words(words.select("word"), ranks)  # no exchange: each plan that is made anew holds the literal anew
-    packed = folded.mapInArrow(_pack, "hashes binary, checks binary, sizes binary, ids binary")
+    packed = folded.mapInArrow(trimmed(_pack), "hashes binary, checks binary, sizes binary, ids binary")
     table = _Table([tuple(map(bytes, r)) for r in packed.collect()])  # ``limit`` words at most
     drop(words)
     broadcast = docs.sparkSession.sparkContext.broadcast((table, ranks, _Merges(ranks)))
     del table, folded, packed
     release(docs.sparkSession)
     fields = [f for f in docs.schema.fields if f.name in kept]
-    return docs.mapInArrow(_encode(broadcast, pattern, text, kept), T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False))]))
+    return docs.mapInArrow(trimmed(_encode(broadcast, pattern, text, kept)), T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False))]))
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquery.llm import bytewords as bw
+from docquery.llm.shared import trimmed
 
 #: Characters of benchmark text in one broadcast.
 BLOCK_CHARS = 4_000_000
@@ -184,6 +185,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 13, text: str
         rows = [(r[0], r[1]) for r in part.toLocalIterator()]
         grams, last = spark.sparkContext.broadcast(_Grams(rows, n)), k == len(parts) - 1
         schema = T.StructType([*docs.schema.fields[: len(kept)], *(RESULT.fields[: 4 + with_text] if last else _STATE.fields)])
-        docs = docs.mapInArrow(_scan(grams, text, kept, k == 0, last, with_text), schema)
+        docs = docs.mapInArrow(trimmed(_scan(grams, text, kept, k == 0, last, with_text)), schema)
     return docs.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 

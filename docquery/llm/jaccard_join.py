@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from docquery.llm import bytewords as bw
 from docquery.llm.components import components
-from docquery.llm.shared import drop, parts, release, stored
+from docquery.llm.shared import drop, parts, release, stored, trimmed
 
 SHINGLE, THRESHOLD = 5, 75
 #: Sets and shingles in a part of a block; shingles of all blocks that one group of tasks' rows holds, about.
@@ -534,18 +534,18 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     context = spark.sparkContext
     docs = docs.select(key, text)
     schema = T.StructType([docs.schema[key], T.StructField("n_shingles", T.LongType()), T.StructField("set", T.LongType()), T.StructField("row", T.IntegerType()), T.StructField("counts", T.BinaryType())])
-    scanned = stored(docs.mapInArrow(_first_scan(key, text, n), schema), "jaccard-sets")
+    scanned = stored(docs.mapInArrow(trimmed(_first_scan(key, text, n)), schema), "jaccard-sets")
     slim = scanned.where(F.col("row").isNull()).select(key, "n_shingles", "set")
 
     counters = np.zeros((_ROWS, (1 << _COUNTERS) // _ROWS), np.uint32)
-    sums = scanned.where(F.col("row").isNotNull()).select("row", "counts").repartition(_ROWS, "row").mapInArrow(_summed, "row int, counts binary")
+    sums = scanned.where(F.col("row").isNotNull()).select("row", "counts").repartition(_ROWS, "row").mapInArrow(trimmed(_summed), "row int, counts binary")
     for r in sums.collect():  # 4 MB, whatever the corpus
         counters[r["row"]] = np.frombuffer(r["counts"], np.uint32)
     table = context.broadcast(counters.ravel())
     total = slim.agg(F.sum("n_shingles")).first()[0] or 0
     bins = max(context.defaultParallelism, total * (110 - threshold) // 100 // BIN_SHINGLES)
 
-    packed = docs.mapInArrow(_prefixes(table, text, n, threshold, bins), "bin int, keys binary, owners binary, sets binary, sizes binary")
+    packed = docs.mapInArrow(trimmed(_prefixes(table, text, n, threshold, bins)), "bin int, keys binary, owners binary, sets binary, sizes binary")
     shared = packed.groupBy("bin").applyInArrow(_shared(threshold), "leader long, set long, size long, n long")
     shared = stored(shared.groupBy("leader", "set").agg(F.first("size").alias("size"), F.sum("n").alias("n")), "jaccard-shared")
     del packed
@@ -572,7 +572,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         if not n_rows:
             return None
         maps.append(context.broadcast(_marked(rows, "set", sets)))
-        whole = docs.mapInArrow(_whole_sets(maps[-1], text, n), "set long, shingles binary").groupBy("set").agg(F.first("shingles").alias("shingles"))
+        whole = docs.mapInArrow(trimmed(_whole_sets(maps[-1], text, n)), "set long, shingles binary").groupBy("set").agg(F.first("shingles").alias("shingles"))
         return stored(_dealt(rows, whole, threshold, shingles, by_query), name)
 
     linked = search(blocks, False, "jaccard-linked")

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquery.llm import bytewords as bw
-from docquery.llm.shared import drop, stored
+from docquery.llm.shared import drop, stored, trimmed
 
 KINDS = ("email", "ip", "card", "phone")
 #: A pattern is trusted with this confidence and so many distinct seeds or found instances.
@@ -248,7 +248,7 @@ def _instances(docs: DataFrame, text: str, kept: list[str]) -> DataFrame:
                 rows.append([dict(zip(_CANDIDATE.names, c)) for c in (candidates(own, base_spans(own)) if own else [])])
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(rows, _ARROW)], [*kept, "_candidates"])
 
-    return docs.mapInArrow(run, T.StructType([*[f for f in docs.schema.fields if f.name in kept], T.StructField("_candidates", T.ArrayType(_CANDIDATE))]))
+    return docs.mapInArrow(trimmed(run), T.StructType([*[f for f in docs.schema.fields if f.name in kept], T.StructField("_candidates", T.ArrayType(_CANDIDATE))]))
 
 
 def _plain(docs: DataFrame, text: str, rooms) -> DataFrame:
@@ -305,7 +305,7 @@ def _plain(docs: DataFrame, text: str, rooms) -> DataFrame:
                     held = 0
         yield packed()
 
-    return docs.select(text).mapInArrow(run, "pattern string, word string")
+    return docs.select(text).mapInArrow(trimmed(run), "pattern string, word string")
 
 
 def _outermost(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -337,7 +337,7 @@ def _spans(docs: DataFrame, text: str, kept: list[str], trusted) -> DataFrame:
             columns = list(zip(*rows)) if rows else [()] * len(_ARROW_FOUND)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *[pa.array(c, t) for c, t in zip(columns, _ARROW_FOUND)]], [*kept, *_FOUND.names])
 
-    return docs.mapInArrow(run, T.StructType([*[f for f in docs.schema.fields if f.name in kept], *_FOUND.fields]))
+    return docs.mapInArrow(trimmed(run), T.StructType([*[f for f in docs.schema.fields if f.name in kept], *_FOUND.fields]))
 
 
 def _settled(edges: DataFrame, plain: DataFrame | None, rounds: int, confidence: float, support: float) -> DataFrame:
@@ -429,5 +429,5 @@ def redact(docs: DataFrame, text: str = "text", **options) -> DataFrame:
                 texts[k] = "".join(out) + own[at:]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column("_kept")], [text, "_kept"])
 
-    out = found.mapInArrow(run, T.StructType([packed.schema[text], packed.schema["_kept"]]))
+    out = found.mapInArrow(trimmed(run), T.StructType([packed.schema[text], packed.schema["_kept"]]))
     return out.select(*[F.col(text) if c == text else F.col("_kept").getField(c).alias(c) for c in columns])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,6 +51,21 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``; at its end the worker gives memory that is free back to the system.
+
+    Workers that wait for their next task keep what they once had, and there may be several beside those at work.
+    """
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return own
+
+
 def release(spark: SparkSession) -> None:
     """Shuffle files, broadcasts and plans of finished steps go when the driver finds that nothing refers to them."""
     gc.collect()

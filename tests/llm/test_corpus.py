@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as some
 
 from docquery.llm import jaccard_join as jj
-from docquery.llm import queries, warc
+from docquery.llm import queries, shared, warc
 from docquery.llm.components import components
 
 
@@ -120,6 +120,25 @@ class TestJaccard:
         assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_a_task_gives_its_memory_back():
+    pinned = []
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4 / 1024
+
+    def run(batches):
+        held = [bytes(1000) for _ in range(200_000)]
+        pinned.append(bytes(1000))  # what is free below it stays with the process by itself
+        del held[:1000]
+        yield from batches
+
+    got = shared.trimmed(run)(iter([1, 2]))
+    assert next(got) == 1
+    most = resident()
+    assert list(got) == [2] and resident() < most - 100
+
+
 class TestWarc:
     PAGES = [(1, "http://a/ b", "x" * 1000), (2, "http://c", "x" * 1000), (3, None, "x" * 1000), (4, "http://d", "small"), (5, "http://e", "small"), (6, "http://f", None), (7, "http://g", "é\n\nHTTP/1.1 200\r\n\r\nWARC/1.0\r\n" * 60), (None, "http://h", "x" * 1000)]
 
